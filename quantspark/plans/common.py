@@ -23,6 +23,9 @@ def round_doubles(df: DataFrame, digits: int = 6, overrides: dict[str, int] | No
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             cols.append(rnd(f.name, overrides.get(f.name, digits)).alias(f.name))
+        elif isinstance(f.dataType, T.DateType):
+            # ISO text: DATE values travel to pandas differently per engine
+            cols.append(F.date_format(f.name, "yyyy-MM-dd").alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
@@ -33,9 +36,11 @@ def sql_rnd(expr: str, digits: int = 6) -> str:
 
 
 def sql_round_select(inner: str, plain: Sequence[str], doubles: Sequence[str],
-                     digits: int = 6, overrides: dict[str, int] | None = None) -> str:
+                     digits: int = 6, overrides: dict[str, int] | None = None,
+                     dates: Sequence[str] = ()) -> str:
     overrides = overrides or {}
-    parts = list(plain) + [f"{sql_rnd(c, overrides.get(c, digits))} AS {c}" for c in doubles]
+    parts = [f"strftime({c}, '%Y-%m-%d') AS {c}" if c in dates else c for c in plain]
+    parts += [f"{sql_rnd(c, overrides.get(c, digits))} AS {c}" for c in doubles]
     return f"SELECT {', '.join(parts)} FROM ({inner}) q"
 
 

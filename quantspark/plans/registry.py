@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("crypto",)
+MODULES = ("crypto", "insider")
 
 
 def _collect(attr: str) -> dict:
