@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("crypto", "insider")
+MODULES = ("crypto", "insider", "signals")
 
 
 def _collect(attr: str) -> dict:
