@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("crypto", "insider", "signals", "panel", "zip")
+MODULES = ("crypto", "insider", "signals", "panel", "zip", "lending")
 
 
 def _collect(attr: str) -> dict:
