@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("crypto", "insider", "signals", "panel", "zip", "lending")
+MODULES = ("crypto", "insider", "signals", "panel", "zip", "lending", "evaluation")
 
 
 def _collect(attr: str) -> dict:
