@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("crypto", "insider", "signals", "panel", "zip", "lending", "evaluation")
+MODULES = ("crypto", "insider", "signals", "panel", "zip", "lending", "evaluation", "models", "streaming")
 
 
 def _collect(attr: str) -> dict:
