@@ -54,13 +54,16 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_on: s
                  _T, _SIDE, _R, _TB)
     u = l.select(*keys, *missing, _T, _SIDE, _R, _TB).unionByName(r)
 
-    order = [F.col(_T), F.col(_SIDE), F.col(_TB)]
+    # Forward lookups run as backward ones over the reversed order: Spark
+    # evaluates a [unbounded preceding, current] frame incrementally, while
+    # a [current, unbounded following] frame is recomputed for every row.
+    # Reversing every sort key keeps the tie rules (side flag, tiebreak).
     if direction == "backward":
-        pick = lambda w: F.last(_R, ignorenulls=True).over(
-            w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        order = [F.col(_T), F.col(_SIDE), F.col(_TB)]
     else:
-        pick = lambda w: F.first(_R, ignorenulls=True).over(
-            w.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+        order = [F.col(_T).desc(), F.col(_SIDE).desc(), F.col(_TB).desc()]
+    pick = lambda w: F.last(_R, ignorenulls=True).over(
+        w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
     if bucket_width is None:
         w = Window.partitionBy(*keys).orderBy(*order)
@@ -81,8 +84,8 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_on: s
             carry_of = lambda: F.last("_qs_e", ignorenulls=True).over(cw)
         else:
             edge = rights.groupBy(*keys, _B).agg(F.min_by(_R, F.struct(_T, _TB)).alias("_qs_e"))
-            cw = Window.partitionBy(*keys).orderBy(_B).rowsBetween(1, Window.unboundedFollowing)
-            carry_of = lambda: F.first("_qs_e", ignorenulls=True).over(cw)
+            cw = Window.partitionBy(*keys).orderBy(F.col(_B).desc()).rowsBetween(Window.unboundedPreceding, -1)
+            carry_of = lambda: F.last("_qs_e", ignorenulls=True).over(cw)
         spine = u.select(*keys, _B).distinct().join(edge, [*keys, _B], "left")
         carry = spine.select(*keys, _B, carry_of().alias("_qs_c"))
         u = u.join(carry, [*keys, _B], "left").withColumn("_qs_m", F.coalesce("_qs_m", "_qs_c"))

@@ -147,12 +147,14 @@ def prefix_select(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
     """
     if chunk_rows is None:
         w = Window.partitionBy(*keys).orderBy(*order)
-        return df.select("*", *[_direct(kind, c, w).alias(out) for kind, c, out in specs])
+        rev = Window.partitionBy(*keys).orderBy(*_reversed(order))
+        return df.select("*", *[_direct(kind, c, w, rev).alias(out) for kind, c, out in specs])
     if bucket is None:
         raise ValueError("chunked prefixes need a bucket column")
     d = number_rows(df, keys, order, bucket).withColumn(CHUNK, F.floor((F.col(ROW) - 1) / chunk_rows))
     w = Window.partitionBy(*keys, CHUNK).orderBy(ROW)
-    local = [_direct(kind, c, w).alias(f"_qs_l_{out}") for kind, c, out in specs]
+    rev = Window.partitionBy(*keys, CHUNK).orderBy(F.col(ROW).desc())
+    local = [_direct(kind, c, w, rev).alias(f"_qs_l_{out}") for kind, c, out in specs]
     d = d.select("*", *local)
 
     # one row per (series, chunk): totals, then carried across chunks
@@ -170,7 +172,7 @@ def prefix_select(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
             raise ValueError(kind)
     summary = d.groupBy(*keys, CHUNK).agg(*aggs)
     before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(1, Window.unboundedFollowing)
+    after = Window.partitionBy(*keys).orderBy(F.col(CHUNK).desc()).rowsBetween(Window.unboundedPreceding, -1)
     carried = []
     for kind, c, out in specs:
         t = F.col(f"_qs_t_{out}")
@@ -179,7 +181,7 @@ def prefix_select(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
         elif kind == "ffill":
             carried.append(F.last(t, ignorenulls=True).over(before).alias(f"_qs_c_{out}"))
         else:
-            carried.append(F.first(t, ignorenulls=True).over(after).alias(f"_qs_c_{out}"))
+            carried.append(F.last(t, ignorenulls=True).over(after).alias(f"_qs_c_{out}"))
     summary = summary.select(*keys, CHUNK, *carried)
     d = _join_on(d, summary, [*keys, CHUNK], "left")
 
@@ -197,7 +199,11 @@ def prefix_select(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
     return d.select(*keep, *final)
 
 
-def _direct(kind: str, c: str, w: WindowSpec) -> Column:
+def _reversed(order: Sequence[str | Column]) -> list[Column]:
+    return [F.col(o).desc() if isinstance(o, str) else o.desc() for o in order]
+
+
+def _direct(kind: str, c: str, w: WindowSpec, rev: WindowSpec) -> Column:
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     prior = w.rowsBetween(Window.unboundedPreceding, -1)
     if kind == "sum":
@@ -211,7 +217,9 @@ def _direct(kind: str, c: str, w: WindowSpec) -> Column:
     if kind == "ffill":
         return F.last(c, ignorenulls=True).over(upto)
     if kind == "bfill":
-        return F.first(c, ignorenulls=True).over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+        # first non-null from here on = last non-null over the reversed order
+        # (incremental frame instead of one recomputed per row)
+        return F.last(c, ignorenulls=True).over(rev.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     raise ValueError(kind)
 
 
