@@ -19,35 +19,32 @@ HIST_BUCKETS = 4096
 FINAL_CANDIDATES = 20000
 
 
-def _kth_values(df: DataFrame, c: str, ranks: Sequence[int], n: int) -> dict[int, float]:
-    """Exact order statistics (0-based ranks) of non-null ``c``."""
+def _select(sub: DataFrame, c: str, below: int, n: int, mn: float, mx: float,
+            ranks: Sequence[int], depth: int = 0) -> dict[int, float]:
+    """Order statistics for 0-based ``ranks`` that fall inside ``sub``
+    (which holds the values ranked ``below`` .. ``below + n - 1``)."""
     x = F.col(c)
+    if mn == mx:
+        return {k: float(mn) for k in ranks}
+    if n <= FINAL_CANDIDATES or depth >= 12:
+        vals = sorted(r[0] for r in sub.select(x).collect())
+        return {k: float(vals[k - below]) for k in ranks}
+    width = (mx - mn) / HIST_BUCKETS
+    b = F.least(F.floor((x - F.lit(mn)) / F.lit(width)), F.lit(HIST_BUCKETS - 1))
+    # one job per level: counts with each bucket's own min/max, so the next
+    # level needs no extra pass to find its range
+    hist = sorted((r["b"], r["n"], r["mn"], r["mx"]) for r in
+                  sub.groupBy(b.alias("b")).agg(F.count(x).alias("n"), F.min(x).alias("mn"),
+                                                F.max(x).alias("mx")).collect())
     out: dict[int, float] = {}
-    for k in sorted(set(ranks)):
-        below = 0
-        sub = df
-        for _ in range(12):
-            rng = sub.agg(F.min(x).alias("mn"), F.max(x).alias("mx"), F.count(x).alias("n")).first()
-            if rng["n"] <= FINAL_CANDIDATES or rng["mn"] == rng["mx"]:
-                if rng["mn"] == rng["mx"]:
-                    out[k] = float(rng["mn"])
-                else:
-                    vals = sorted(r[0] for r in sub.select(x).collect())
-                    out[k] = float(vals[k - below])
-                break
-            mn, mx = rng["mn"], rng["mx"]
-            width = (mx - mn) / HIST_BUCKETS
-            b = F.least(F.floor((x - F.lit(mn)) / F.lit(width)), F.lit(HIST_BUCKETS - 1))
-            hist = sorted((r["b"], r["n"]) for r in sub.groupBy(b.alias("b")).agg(F.count(x).alias("n")).collect())
-            acc = below
-            for bi, cnt in hist:
-                if acc + cnt > k:
-                    # same bucket expression as the count, so float rounding at
-                    # bucket edges cannot move a value between rounds
-                    sub = sub.filter(b == F.lit(bi))
-                    below = acc
-                    break
-                acc += cnt
+    acc = below
+    for bi, cnt, bmn, bmx in hist:
+        inside = [k for k in ranks if acc <= k < acc + cnt]
+        if inside:
+            # the same bucket expression as the count, so float rounding at
+            # bucket edges cannot move a value between levels
+            out.update(_select(sub.filter(b == F.lit(bi)), c, acc, cnt, bmn, bmx, inside, depth + 1))
+        acc += cnt
     return out
 
 
@@ -55,14 +52,15 @@ def global_quantiles(df: DataFrame, c: str, qs: Sequence[float]) -> list[float |
     """Exact quantiles with linear interpolation (numpy/pandas default,
     Spark ``percentile``, DuckDB ``quantile_cont``) over all non-null values."""
     base = df.select(c).filter(F.col(c).isNotNull())
-    n = base.count()
+    head = base.agg(F.count(F.lit(1)).alias("n"), F.min(c).alias("mn"), F.max(c).alias("mx")).first()
+    n = head["n"]
     if n == 0:
         return [None for _ in qs]
-    ranks = []
+    ranks = set()
     for q in qs:
-        pos = q * (n - 1)
-        ranks += [math.floor(pos), min(math.floor(pos) + 1, n - 1)]
-    vals = _kth_values(base, c, ranks, n)
+        k = math.floor(q * (n - 1))
+        ranks.update({k, min(k + 1, n - 1)})
+    vals = _select(base, c, 0, n, head["mn"], head["mx"], sorted(ranks))
     out = []
     for q in qs:
         pos = q * (n - 1)
