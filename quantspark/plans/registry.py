@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("crypto", "insider", "signals", "panel", "zip", "lending", "evaluation", "models", "streaming", "pairs")
+MODULES = ("crypto", "insider", "signals", "panel", "zip", "lending", "evaluation", "models", "streaming", "pairs", "portfolio")
 
 
 def _collect(attr: str) -> dict:
