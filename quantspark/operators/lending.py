@@ -60,12 +60,28 @@ def simulate(rate: Column, vol: Column, volume_ratio: Column, leverage: float =
 
 
 def revenue_grid(states: DataFrame, keys: Sequence[str], vol: str, volume_ratio: str) -> DataFrame:
-    """B1 + J15: every state x every candidate rate."""
+    """B1 + J15: every state x every candidate rate.
+
+    The simulation is staged over successive projections: utilisation and
+    hold time, then the period volatility, then the CDF argument, so that
+    each intermediate is computed once per row instead of being inlined into
+    every expression that uses it (nested clips and the CDF polynomial would
+    otherwise repeat whole subtrees in generated code)."""
     rates = F.array(*[F.lit(r) for r in test_rates()])
     g = states.select(*keys, F.col(vol).alias("vol"), F.col(volume_ratio).alias("volume_ratio"),
                       F.posexplode(rates).alias("rate_idx", "rate"))
     sim = simulate(F.col("rate"), F.col("vol"), F.col("volume_ratio"))
-    return g.select("*", *[v.alias(k) for k, v in sim.items()])
+    g = g.select("*", sim["utilization"].alias("utilization"), sim["hold_time"].alias("hold_time"))
+    g = g.select("*", (F.col("vol") / math.sqrt(HOURS_PER_YEAR) * F.sqrt("hold_time")).alias("_pv"))
+    g = g.select("*", ((1.0 / SIM_LEVERAGE) / F.col("_pv")).alias("_z"))
+    g = g.select("*", normal_cdf(F.col("_z")).alias("_cdf"))
+    liq = F.when(F.col("_pv") < 1e-6, F.lit(0.001)).otherwise(clip(2 * (1 - F.col("_cdf")), 0.001, 0.5))
+    g = g.select("*", liq.alias("liquidation_rate"))
+    interest = F.col("rate") * F.col("utilization") * F.col("hold_time")
+    liq_rev = LIQUIDATION_FEE * F.col("liquidation_rate") * F.col("utilization")
+    g = g.select("*", interest.alias("interest_revenue"), liq_rev.alias("liquidation_revenue"))
+    g = g.withColumn("total_revenue", F.col("interest_revenue") + F.col("liquidation_revenue"))
+    return g.drop("_pv", "_z", "_cdf")
 
 
 def best_rate(grid: DataFrame, keys: Sequence[str]) -> DataFrame:
