@@ -86,3 +86,58 @@ def q_m12(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"m1": q_m1, "m5": q_m5, "m8": q_m8, "m12": q_m12}
 ORACLE: dict[str, str] = {}
+
+
+def q_m7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M7 + E11: multilayer perceptron classifier of the extreme flag, and
+    a boosted classifier with an early-stopping validation subset (the
+    validation split marks the rows)."""
+    from pyspark.ml.classification import GBTClassifier
+    f = _split_features(spark, sf_dir)
+    train = f.filter(F.col("split") == "train")
+    test = f.filter(F.col("split") == "test")
+    out = None
+    mlp = M.pipeline(FEATURES, M.classifier("mlp", "target_extreme_vol_flag", len(FEATURES))).fit(train)
+    gbt_est = GBTClassifier(labelCol="target_extreme_vol_flag", featuresCol="features", maxIter=60, maxDepth=4,
+                            validationIndicatorCol="is_val", validationTol=0.01, seed=42)
+    tv = f.filter(F.col("split") != "test").withColumn("is_val", F.col("split") == "val")
+    gbt = M.pipeline(FEATURES, gbt_est).fit(tv)
+    for name, model in (("mlp", mlp), ("gbt_early_stop", gbt)):
+        s = model.transform(test).select("target_extreme_vol_flag", F.col("prediction").cast("int").alias("yhat"),
+                                         F.lit(name).alias("model"))
+        r = EV.classification_metrics(s, ["model"], "target_extreme_vol_flag", "yhat")
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+def q_m15(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M15 + B2: surrogate revenue model trained on the simulated grid
+    (state features + candidate rate -> revenue); its argmax rate per state
+    is compared with the grid argmax."""
+    from quantspark.operators import lending as L
+    from quantspark.plans.lending import states
+    g = materialize(L.revenue_grid(states(spark, sf_dir), ["asset", "bar_ts"], "realized_vol_24h", "volume_ratio_24h"))
+    feats = ["vol", "volume_ratio", "rate"]
+    model = M.pipeline(feats, M.regressor("gbt", "total_revenue"), scale=False).fit(g)
+    scored = model.transform(g)
+    surrogate = L.best_rate(scored.drop("total_revenue").withColumnRenamed("prediction", "total_revenue"),
+                            ["asset", "bar_ts"]).withColumnRenamed("optimal_rate_hourly", "surrogate_rate")
+    exact = L.best_rate(g, ["asset", "bar_ts"]).select("asset", "bar_ts", "optimal_rate_hourly")
+    j = surrogate.join(exact, ["asset", "bar_ts"])
+    return j.agg(F.count(F.lit(1)).alias("states"),
+                 F.avg((F.col("surrogate_rate") == F.col("optimal_rate_hourly")).cast("double")).alias("exact_match_share"),
+                 F.avg(F.abs(F.col("surrogate_rate") - F.col("optimal_rate_hourly"))).alias("mean_abs_rate_gap"))
+
+
+def q_m14(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M14 + C6: attribution weights of the risk factors from boosted-tree
+    importances, normalised to sum to one over the chosen factors."""
+    from quantspark.plans.zip import RISK_FACTORS, risk_features
+    d = risk_features(spark, sf_dir)
+    model = M.pipeline(RISK_FACTORS, M.regressor("gbt", "Revenue_per_Exposure"), scale=False).fit(d)
+    imp = M.importances(model, RISK_FACTORS, spark)
+    tot = imp.agg(F.sum("importance")).first()[0] or 1.0
+    return imp.withColumn("weight", F.col("importance") / F.lit(tot))
+
+
+QUERIES.update({"m7": q_m7, "m15": q_m15, "m14": q_m14})
