@@ -97,10 +97,11 @@ def q_d4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def market_hours(df: DataFrame, ts: str = "bar_ts", tz: str = "US/Eastern") -> DataFrame:
     """Keep Mon-Fri 09:30-16:00 local time, both ends inclusive."""
-    local = F.from_utc_timestamp(F.col(ts).cast("timestamp"), tz)
+    # NTZ -> NTZ conversion: independent of the session time zone
+    local = F.convert_timezone(F.lit("UTC"), F.lit(tz), F.col(ts))
     minutes = F.hour(local) * 60 + F.minute(local)
     return df.filter((F.weekday(local) < 5) & (minutes >= 9 * 60 + 30) & (minutes <= 16 * 60)) \
-             .withColumn("local_ts", local.cast("timestamp_ntz"))
+             .withColumn("local_ts", local)
 
 
 def q_p19(spark: SparkSession, sf_dir: str) -> DataFrame:
