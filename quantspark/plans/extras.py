@@ -105,3 +105,36 @@ GROUP BY 1, 2""", ["ticker", "date"], ["close"], dates=["date"])
 
 QUERIES = {"b27": q_b27, "r4": q_r4, "p8": q_p8, "p16": q_p16, "s7": q_s7}
 ORACLE = {"b27": SQL_B27, "r4": SQL_R4, "p8": SQL_P8, "p16": SQL_P16, "s7": SQL_S7}
+
+
+def q_geo3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GEO3 + P12: fire-event table from returned line items: lenient
+    dates, duration in days, standard acreage names, rows missing any
+    required field dropped (end date exists only for finished lines,
+    treated acres only for taxed lines)."""
+    li = table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R")
+    s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("zip_code"))
+    ev = li.join(s, "l_suppkey").select(
+        "zip_code", "l_orderkey", "l_linenumber",
+        C.lenient_date("l_shipdate").alias("start_date"),
+        F.when(F.col("l_linestatus") == "F", F.date_add(F.to_date("l_shipdate"), F.col("l_quantity").cast("int")))
+         .alias("end_date"),
+        (F.col("l_extendedprice") / 1000).alias("gis_acres"),
+        F.when(F.col("l_tax") > 0, F.col("l_discount") * 100).alias("treated_ac"))
+    ev = ev.withColumn("duration_days", F.datediff("end_date", "start_date"))
+    ev = ev.withColumnsRenamed({"gis_acres": "acres", "treated_ac": "treated_acres"})
+    return round_doubles(ev.dropna(subset=["zip_code", "start_date", "end_date", "duration_days", "treated_acres"]))
+
+
+SQL_GEO3 = sql_round_select("""
+SELECT s_nationkey AS zip_code, l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS start_date,
+  CASE WHEN l_linestatus = 'F' THEN CAST(CAST(l_shipdate AS DATE) + CAST(l_quantity AS INTEGER) AS DATE) END AS end_date,
+  l_extendedprice / 1000 AS acres, CASE WHEN l_tax > 0 THEN l_discount * 100 END AS treated_acres,
+  CAST(CASE WHEN l_linestatus = 'F' THEN CAST(l_quantity AS INTEGER) END AS INTEGER) AS duration_days
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
+WHERE l_returnflag = 'R' AND l_linestatus = 'F' AND l_tax > 0""",
+    ["zip_code", "l_orderkey", "l_linenumber", "start_date", "end_date", "duration_days"], ["acres", "treated_acres"],
+    dates=["start_date", "end_date"])
+
+QUERIES["geo3"] = q_geo3
+ORACLE["geo3"] = SQL_GEO3
