@@ -63,3 +63,70 @@ def nearest_line(points: DataFrame, segments: DataFrame, levels: Sequence[float]
             break
         todo = todo.join(ok.select("pid"), "pid", "left_anti")
     return done.withColumn("line_nearby", F.col("km_to_line") <= NEARBY_KM)
+
+
+# --- GEO2: polygon-polygon intersection -------------------------------------
+
+def _edges(poly: Column) -> Column:
+    n = F.size(poly)
+    return F.transform(F.sequence(F.lit(0), n - 1),
+                       lambda i: F.struct(poly[i]["x"].alias("x1"), poly[i]["y"].alias("y1"),
+                                          poly[(i + 1) % n]["x"].alias("x2"), poly[(i + 1) % n]["y"].alias("y2")))
+
+
+def _inside(px: Column, py: Column, edges: Column) -> Column:
+    """Ray casting: odd number of edges crossed by the ray to +x."""
+    hits = F.aggregate(edges, F.lit(0), lambda acc, e: acc + F.when(
+        ((e["y1"] > py) != (e["y2"] > py)) &
+        (px < (e["x2"] - e["x1"]) * (py - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"]), 1).otherwise(0))
+    return hits % 2 == 1
+
+
+def _orient(ax, ay, bx, by, cx, cy) -> Column:
+    return F.signum((bx - ax) * (cy - ay) - (by - ay) * (cx - ax))
+
+
+def _crosses(e: Column, f: Column) -> Column:
+    o1 = _orient(e["x1"], e["y1"], e["x2"], e["y2"], f["x1"], f["y1"])
+    o2 = _orient(e["x1"], e["y1"], e["x2"], e["y2"], f["x2"], f["y2"])
+    o3 = _orient(f["x1"], f["y1"], f["x2"], f["y2"], e["x1"], e["y1"])
+    o4 = _orient(f["x1"], f["y1"], f["x2"], f["y2"], e["x2"], e["y2"])
+    return (o1 * o2 < 0) & (o3 * o4 < 0)
+
+
+def polygons_intersect(a: Column, b: Column) -> Column:
+    """Exact test for simple polygons given as arrays of (x, y) structs:
+    a vertex of one inside the other, or two edges properly crossing."""
+    ea, eb = _edges(a), _edges(b)
+    return (F.exists(a, lambda v: _inside(v["x"], v["y"], eb)) |
+            F.exists(b, lambda v: _inside(v["x"], v["y"], ea)) |
+            F.exists(ea, lambda e: F.exists(eb, lambda f: _crosses(e, f))))
+
+
+def _bbox_tiles(poly: Column, size: float) -> tuple[Column, Column]:
+    xs = F.transform(poly, lambda v: v["x"])
+    ys = F.transform(poly, lambda v: v["y"])
+    tx = F.sequence(F.floor(F.array_min(xs) / size).cast("long"), F.floor(F.array_max(xs) / size).cast("long"))
+    ty = F.sequence(F.floor(F.array_min(ys) / size).cast("long"), F.floor(F.array_max(ys) / size).cast("long"))
+    return tx, ty
+
+
+def assign_regions(events: DataFrame, regions: DataFrame, tile: float = 1.0) -> DataFrame:
+    """GEO2 / J18: every (event, region) pair whose polygons intersect;
+    events meeting no region are kept with a null region (left).
+    events: (eid, poly); regions: (rid, rpoly). Candidates come from an
+    equi-join on the tiles both bounding boxes cover, then a bbox test, then
+    the exact test; each pair is tested once (deduplicated first)."""
+    etx, ety = _bbox_tiles(F.col("poly"), tile)
+    rtx, rty = _bbox_tiles(F.col("rpoly"), tile)
+    e = events.select("eid", "poly", F.explode(etx).alias("tx")).select("*", F.explode(ety).alias("ty"))
+    r = regions.select("rid", "rpoly", F.explode(rtx).alias("tx")).select("*", F.explode(rty).alias("ty"))
+    pairs = e.join(r, ["tx", "ty"]).select("eid", "poly", "rid", "rpoly").dropDuplicates(["eid", "rid"])
+    bb = lambda p, f, g: f(F.transform(p, g))
+    x, y = (lambda v: v["x"]), (lambda v: v["y"])
+    overlap = ((bb("poly", F.array_min, x) <= bb("rpoly", F.array_max, x)) &
+               (bb("rpoly", F.array_min, x) <= bb("poly", F.array_max, x)) &
+               (bb("poly", F.array_min, y) <= bb("rpoly", F.array_max, y)) &
+               (bb("rpoly", F.array_min, y) <= bb("poly", F.array_max, y)))
+    hits = pairs.filter(overlap).filter(polygons_intersect(F.col("poly"), F.col("rpoly"))).select("eid", "rid")
+    return events.select("eid").join(hits, "eid", "left")
