@@ -89,3 +89,52 @@ WHERE ticker IN ('click', 'view')""", ["ticker", "ts"], ["close", "open"])
 
 QUERIES = {"s4": q_s4, "s6": q_s6, "s8": q_s8}
 ORACLE = {"s4": SQL_S4, "s6": SQL_S6, "s8": SQL_S8}
+
+
+FIELDS = ("OPEN", "CLOSE")
+
+
+def q_s5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A price file whose header spans rows: a 'Ticker' row naming each
+    ticker once (blank cells continue it to the right) and a 'Date' row of
+    field codes. The two header rows are found by their marker cell (two
+    small rows reach the driver), the column -> (ticker, field) map is built
+    with a forward fill across columns, and the data rows are unpivoted to
+    long form (nulls kept) and widened to one row per (date, ticker)."""
+    ensure_checkpoint_dir(spark)
+    px = daily_prices(spark, sf_dir)
+    n_cols = 1 + len(TICKERS) * len(FIELDS)
+    names = [f"c{i}" for i in range(n_cols)]
+    wide = px.groupBy(F.date_format("date", "yyyy-MM-dd").alias("c0")).pivot("ticker", list(TICKERS)).agg(
+        F.max("open").alias("o"), F.max("close").alias("c"))
+    data_cols = [F.col(f"{t}_{f}").cast("string") for t in TICKERS for f in ("o", "c")]
+    wide = wide.select("c0", *[c.alias(names[i + 1]) for i, c in enumerate(data_cols)])
+    ticker_row = ["Ticker"] + [t if j == 0 else "" for t in TICKERS for j in range(len(FIELDS))]
+    field_row = ["Date"] + [f for _ in TICKERS for f in FIELDS]
+    head = spark.createDataFrame([("Exported prices",) + ("",) * (n_cols - 1), tuple(ticker_row), tuple(field_row)],
+                                 ", ".join(f"{n} string" for n in names))
+    path = FS.write_csv(head.unionByName(wide), FS.scratch_path(spark, "two-level-header"))
+    raw = FS.read_csv_strings(spark, path, names, header=True)
+    hdr = {r["c0"]: r for r in raw.filter(F.col("c0").isin("Ticker", "Date")).collect()}
+    cur, mapping = None, {}
+    for n in names[1:]:
+        t = hdr["Ticker"][n]
+        cur = t if t else cur
+        mapping[n] = (cur, hdr["Date"][n])
+    body = FS.drop_junk_rows(raw, "c0", "yyyy-MM-dd")
+    long = body.unpivot("c0", names[1:], "col", "v")
+    m = spark.createDataFrame([(k, t, f) for k, (t, f) in mapping.items()], "col string, ticker string, field string")
+    long = long.join(F.broadcast(m), "col")
+    out = long.groupBy(F.col("c0").alias("date"), "ticker").pivot("field", list(FIELDS)).agg(
+        F.first(F.col("v").try_cast("double")))
+    return round_doubles(out.select("date", "ticker", F.col("OPEN").alias("open"), F.col("CLOSE").alias("close")))
+
+
+SQL_S5 = sql_round_select(f"""
+WITH px AS ({_PX}), d AS (SELECT DISTINCT date FROM px)
+SELECT strftime(d.date, '%Y-%m-%d') AS date, t.ticker, px.open, px.close
+FROM d CROSS JOIN (VALUES {_TICK_VALUES}) t(ticker) LEFT JOIN px ON px.date = d.date AND px.ticker = t.ticker""",
+    ["date", "ticker"], ["open", "close"])
+
+QUERIES["s5"] = q_s5
+ORACLE["s5"] = SQL_S5
