@@ -138,3 +138,27 @@ FROM d CROSS JOIN (VALUES {_TICK_VALUES}) t(ticker) LEFT JOIN px ON px.date = d.
 
 QUERIES["s5"] = q_s5
 ORACLE["s5"] = SQL_S5
+
+
+def q_s13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A customer extract whose ZIP-like column is found by name
+    pattern and content (5 digits); a look-alike column with the right name
+    but other content is skipped."""
+    ensure_checkpoint_dir(spark)
+    c = table(spark, sf_dir, "customer")
+    ext = c.select(F.col("c_custkey").cast("string").alias("id"),
+                   F.concat(F.lit("G"), F.col("c_nationkey").cast("string")).alias("GEOID_zip"),
+                   F.lpad((F.col("c_custkey") % 100000).cast("string"), 5, "0").alias("ZCTA5CE20"),
+                   F.col("c_acctbal").cast("string").alias("balance"))
+    path = FS.write_csv(ext, FS.scratch_path(spark, "zcta"))
+    back = FS.read_csv_strings(spark, path, ["id", "GEOID_zip", "ZCTA5CE20", "balance"])
+    col = FS.discover_by_content(back, r"zip|zcta", r"\d{5}")
+    return round_doubles(back.select(F.col("id").cast("long").alias("id"), F.col(col).alias("zip_code"),
+                                     F.col("balance").try_cast("double").alias("balance")))
+
+
+SQL_S13 = sql_round_select("""SELECT c_custkey AS id, lpad(CAST(c_custkey % 100000 AS VARCHAR), 5, '0') AS zip_code,
+  c_acctbal AS balance FROM customer""", ["id", "zip_code"], ["balance"])
+
+QUERIES["s13"] = q_s13
+ORACLE["s13"] = SQL_S13

@@ -78,3 +78,17 @@ def write_json(df: DataFrame, path: str) -> str:
     """JSON lines."""
     df.write.mode("overwrite").json(path)
     return path
+
+
+def discover_by_content(df: DataFrame, name_pattern: str, value_pattern: str) -> str | None:
+    """First column whose name matches ``name_pattern`` (regex,
+    case-insensitive) and whose first non-null value matches
+    ``value_pattern``; each probe reads one value (``limit(1)``)."""
+    import re
+    for c in df.columns:
+        if not re.search(name_pattern, c, re.IGNORECASE):
+            continue
+        row = df.select(F.col(c).cast("string")).filter(F.col(c).isNotNull()).limit(1).collect()
+        if row and re.fullmatch(value_pattern, row[0][0] or ""):
+            return c
+    return None
