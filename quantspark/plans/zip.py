@@ -298,3 +298,40 @@ ORDER BY zip_code LIMIT 20"""
 
 QUERIES = {"d7": q_d7, "b26": q_b26, "a10": q_a10, "p23": q_p23, "c15": q_c15}
 ORACLE = {"d7": SQL_D7, "b26": SQL_B26, "a10": SQL_A10, "p23": SQL_P23}
+
+
+EXPORT_COLUMNS = ["zip_code", "year", "Revenue_per_Exposure", "Earthquake_Risk", "Wildfire_Risk_per_House",
+                  "Building_Age", "fault_nearby"]
+
+
+def missing_columns(df: DataFrame, required) -> list[str]:
+    """Required columns absent from the schema (driver-side,
+    metadata only)."""
+    have = set(df.columns)
+    return [c for c in required if c not in have]
+
+
+def q_p26(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P26 + A20: record export of the risk table: required columns
+    checked, null / infinite numbers written as 0, flags as integers."""
+    d = risk_features(spark, sf_dir)
+    missing = missing_columns(d, EXPORT_COLUMNS)
+    if missing:
+        raise ValueError(f"missing required columns: {missing}")
+    num = [c for c in EXPORT_COLUMNS if c not in ("zip_code", "year", "fault_nearby")]
+    out = d.select("zip_code", "year",
+                   *[F.when(F.col(c).isNull() | F.col(c).isin(float("inf"), float("-inf")), F.lit(0.0))
+                      .otherwise(F.col(c)).alias(c) for c in num],
+                   F.col("fault_nearby").cast("int").alias("fault_nearby"))
+    return round_doubles(out)
+
+
+SQL_P26 = sql_round_select(f"""SELECT zip_code, year,
+  {', '.join(f"CASE WHEN {c} IS NULL OR isinf({c}) THEN 0.0 ELSE {c} END AS {c}"
+             for c in ["Revenue_per_Exposure", "Earthquake_Risk", "Wildfire_Risk_per_House", "Building_Age"])},
+  CAST(fault_nearby AS INTEGER) AS fault_nearby FROM ({SQL_RISK}) r""",
+    ["zip_code", "year", "fault_nearby"], ["Revenue_per_Exposure", "Earthquake_Risk", "Wildfire_Risk_per_House",
+                                           "Building_Age"])
+
+QUERIES["p26"] = q_p26
+ORACLE["p26"] = SQL_P26
