@@ -25,6 +25,15 @@ TAIL_TEST = 100
 # test tables span one month, so the registered job uses 24/72/168 bars.
 HAR_WINDOWS = (24, 72, 168)
 GRID = ({"maxDepth": 3, "stepSize": 0.05}, {"maxDepth": 4, "stepSize": 0.1})
+RANDOM_DRAWS = 2
+DRAW_SEED = 42
+
+
+def random_draws(n: int, seed: int) -> list[dict]:
+    """M10 random search: seeded draws from the parameter ranges."""
+    import random
+    rng = random.Random(seed)
+    return [{"maxDepth": rng.choice((2, 3, 4, 5)), "stepSize": round(rng.uniform(0.02, 0.2), 3)} for _ in range(n)]
 FOLDS = 3
 
 
@@ -56,7 +65,7 @@ def q_e6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_m10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M10 + E5 + V7 + V8: grid search over expanding folds, fits run
+    """M10 + E5 + V7 + V8: grid and seeded random search over expanding folds, fits run
     concurrently from a small driver thread pool on cached folds; the
     comparison table is sorted and the best setting flagged."""
     f = _split_features(spark, sf_dir).filter(F.col("split") != "test")
@@ -74,10 +83,11 @@ def q_m10(spark: SparkSession, sf_dir: str) -> DataFrame:
         r = EV.regression_metrics(model.transform(test), [], "target_vol_24h", "prediction").first()
         return gi, k, r["rmse"], r["mae"]
 
-    jobs = [(gi, p, k) for gi, p in enumerate(GRID) for k in range(1, FOLDS + 1)]
-    with ThreadPoolExecutor(max_workers=2) as pool:
+    settings = list(GRID) + random_draws(RANDOM_DRAWS, DRAW_SEED)
+    jobs = [(gi, p, k) for gi, p in enumerate(settings) for k in range(1, FOLDS + 1)]
+    with ThreadPoolExecutor(max_workers=4) as pool:
         res = list(pool.map(run, jobs))
-    df = spark.createDataFrame([(gi, str(GRID[gi]), k, rm, ma) for gi, k, rm, ma in res],
+    df = spark.createDataFrame([(gi, str(settings[gi]), k, rm, ma) for gi, k, rm, ma in res],
                                "setting int, params string, fold int, rmse double, mae double")
     cmp = df.groupBy("setting", "params").agg(F.avg("rmse").alias("cv_rmse"), F.stddev_pop("rmse").alias("cv_rmse_std"),
                                              F.avg("mae").alias("cv_mae"))
