@@ -104,7 +104,7 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def train(docs: DataFrame, labels: DataFrame, groups=IDENTITY_TERMS, sample_rows: int = 50_000, min_rows: int = 5,
+def train(docs: DataFrame, labels: DataFrame, groups=IDENTITY_TERMS, sample_rows: int = 20_000, min_rows: int = 5,
           max_words: int = 1 << 18, l1: float | None = None, counterfactual: float = 1.0, steps: int = 150) -> Model:
     """Accelerated proximal gradient on mean log loss + l1 * w +
     counterfactual * mean squared logit change under the swaps, then once more
