@@ -18,9 +18,9 @@ sent to all tasks. This saves work and changes no result.
 Bytes are written as the code points 0 to 255 while they are folded, so that
 pieces are strings. In words of more than ``LONG`` parts all places of the
 lowest pair are merged at once (two code points above 255 mark a part's ends);
-every pair with the new piece has a higher rank, so the result is the same. A
-word of more than ``LONG`` bytes is first cut at byte pairs that no piece of the
-vocabulary holds: no merge can cross these.
+every pair with the new piece has a higher rank, so the result is the same.
+Words are first cut at places that no piece of the vocabulary can reach over, as
+no merge can cross them; the distinct parts are what is folded.
 
 Defined cases: a null or empty text has no tokens and decodes to nothing; ids
 may be null or repeated; an empty table gives no rows; extra columns are ignored.
@@ -31,6 +31,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import re
 import zlib
 from functools import lru_cache
 
@@ -41,11 +42,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quantspark.llm.common import read
+from quantspark.llm.common import read, stage
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-BLOCK_WORDS = 1 << 22
-CACHE_WORDS, CACHE_BYTES, SAMPLE_DOCS = 1 << 20, 64, 1 << 16
+BLOCK_WORDS = 1 << 20
+CACHE_WORDS, CACHE_BYTES, SAMPLE_DOCS = 3 << 18, 64, 1 << 18
 BUCKETS = 1 << 14
 LONG = 48
 OPEN, CLOSE = "Ā", "ā"
@@ -83,15 +84,25 @@ def _newer(spark: SparkSession) -> dict[str, str]:
     return out
 
 
-def pattern(spark: SparkSession) -> str:
-    """The tokenizer's pattern for Java: white space spelled out, and letters
-    and numbers as its library has them."""
+def pattern(more_letters: str = "", more_numbers: str = "") -> str:
+    """The tokenizer's pattern for Java, with its white space spelled out."""
     import public_tokenizers
-    newer = _newer(spark)
     p = public_tokenizers.PATTERN
-    p = p.replace(r"[^\s\p{L}\p{N}]", rf"[^{SPACES}\p{{L}}\p{{N}}{newer['L']}{newer['N']}]").replace(r"(?!\S)", f"(?![^{SPACES}])")
+    p = p.replace(r"[^\s\p{L}\p{N}]", rf"[^{SPACES}\p{{L}}\p{{N}}{more_letters}{more_numbers}]").replace(r"(?!\S)", f"(?![^{SPACES}])")
     p = p.replace(r"\s", f"[{SPACES}]")
-    return p.replace(r" ?\p{L}+", rf" ?[\p{{L}}{newer['L']}]+").replace(r" ?\p{N}+", rf" ?[\p{{N}}{newer['N']}]+")
+    return p.replace(r" ?\p{L}+", rf" ?[\p{{L}}{more_letters}]+").replace(r" ?\p{N}+", rf" ?[\p{{N}}{more_numbers}]+")
+
+
+def _matches(spark: SparkSession) -> Column:
+    """Matches of the pattern; its longer form only for texts with a code point
+    from the first one on that Java lacks."""
+    newer, text = _newer(spark), F.coalesce("text", F.lit(""))
+    plain = F.regexp_extract_all(text, F.lit(pattern()), F.lit(0))
+    if not newer["L"] + newer["N"]:
+        return plain
+    least = min(int(x, 16) for x in re.findall(r"x\{([0-9A-F]+)\}", newer["L"] + newer["N"]))
+    full = F.regexp_extract_all(text, F.lit(pattern(newer["L"], newer["N"])), F.lit(0))
+    return F.when(text.rlike(rf"[\x{{{least:X}}}-\x{{10FFFF}}]"), full).otherwise(plain)
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -174,22 +185,63 @@ def encode_words(words: Column, literal: Column) -> Column:
     return _let(literal, lambda table: F.transform(words, lambda word: encode(table, word)))
 
 
-def _crossed(ranks: dict[bytes, int]) -> np.ndarray:
-    """Byte pairs (first * 256 + second) inside some piece."""
-    out = np.zeros(1 << 16, bool)
-    for piece in ranks:
-        for a, b in zip(piece, piece[1:]):
-            out[a * 256 + b] = True
-    return out
-
-
-def _cut(word: str, crossed: np.ndarray) -> list[str]:
-    """A long word's bytes as text, cut where no piece can cross."""
-    raw = word.encode()
-    b = np.frombuffer(raw, np.uint8).astype(np.int64)
-    at = np.flatnonzero(~crossed[b[:-1] * 256 + b[1:]]) + 1
-    edges = [0, *at.tolist(), len(raw)]
-    return [raw[i:j].decode("latin-1") for i, j in zip(edges[:-1], edges[1:])]
+class Cutter:
+    """Cuts words where no merge can cross: at a place that no piece of the
+    vocabulary, matched at any place of the word, reaches over. Pieces are found
+    by a hash in a bit table, so a chance hit can only leave a cut out."""
+
+    BASE, BITS = np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - 23)
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.longest = max(map(len, ranks))
+        self.pairs = np.zeros(1 << 16, bool)
+        self.table = np.zeros(1 << 23, bool)
+        by_size: dict[int, list[bytes]] = {}
+        for piece in ranks:
+            if len(piece) > 1:
+                by_size.setdefault(len(piece), []).append(piece)
+        for size, pieces in by_size.items():
+            b = np.frombuffer(b"".join(pieces), np.uint8).reshape(-1, size)
+            for i in range(size - 1):
+                self.pairs[b[:, i].astype(np.int64) * 256 + b[:, i + 1]] = True
+            h = np.zeros(len(b), np.uint64)
+            for i in range(size):
+                h = h * self.BASE + b[:, i] + np.uint64(1)
+            self.table[self._slot(h)] = True
+
+    def _slot(self, h):
+        return ((h ^ (h >> np.uint64(29))) * self.BASE) >> self.BITS
+
+    def _crossed(self, b: np.ndarray) -> np.ndarray:
+        """Of words as rows of ``size`` bytes: whether a piece reaches over the place before byte 1, 2, .."""
+        n, size = b.shape
+        if size > LONG:  # by pairs alone: a piece over a place holds the two bytes beside it
+            return self.pairs[b[:, :-1].astype(np.int64) * 256 + b[:, 1:]]
+        h, delta = b.astype(np.uint64) + np.uint64(1), np.zeros((n, size + 1), np.int32)
+        for more in range(1, min(size, self.longest)):
+            h = h[:, :-1] * self.BASE + b[:, more:] + np.uint64(1)
+            hit = self.table[self._slot(h)]
+            delta[:, 1:size - more + 1] += hit
+            delta[:, more + 1:] -= hit
+        return np.cumsum(delta, axis=1)[:, 1:size] > 0
+
+    def cut(self, words: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+        """All words' parts in order, and the number of parts of each word."""
+        sizes = np.array([len(w) for w in words], np.int64)
+        counts = np.ones(len(words), np.int64)
+        cuts: list[list[int]] = [[]] * len(words)
+        for size in np.unique(sizes[sizes > 1]):
+            rows = np.flatnonzero(sizes == size)
+            b = np.frombuffer(b"".join([words[r] for r in rows]), np.uint8).reshape(-1, int(size))
+            free = ~self._crossed(b)
+            for r in np.flatnonzero(free.any(axis=1)):
+                cuts[rows[r]] = (np.flatnonzero(free[r]) + 1).tolist()
+                counts[rows[r]] += len(cuts[rows[r]])
+        parts = []
+        for word, at in zip(words, cuts):
+            edges = [0, *at, len(word)]
+            parts.extend([word[i:j] for i, j in zip(edges[:-1], edges[1:])])
+        return parts, counts
 
 
 def _ragged(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -215,19 +267,28 @@ class WordCache:
         # about ``sample_docs`` rows, by a hash of the id
         share = min(1.0, sample_docs / max(docs.count(), 1))
         picked = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-        words = picked.select(F.explode(_matches(docs.sparkSession)).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-        top = (words.filter((F.col("n") > 1) & (F.octet_length("w") <= CACHE_BYTES))
-               .orderBy(F.desc("n"), "w").limit(max(cache_words, 1)))
-        groups = top.groupBy(F.pmod(F.xxhash64("w"), F.lit(256)).alias("g")).agg(F.collect_list("w").alias("words"))
-        got = _encoded(groups.withColumn("w", F.transform("words", _bytes_as_text)), literal).select("words", "ids").toArrow()
-        lists = got.column("words").combine_chunks().flatten()
-        ids = got.column("ids").combine_chunks().flatten()
-        sizes = pc.list_value_length(ids).to_numpy(zero_copy_only=False).astype(np.int32)
-        return cls(lists, sizes, ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32))
-
-
-def _matches(spark: SparkSession) -> Column:
-    return F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(pattern(spark)), F.lit(0))
+        words = (picked.select(F.explode(_matches(docs.sparkSession)).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+                 .filter((F.col("n") > 1) & (F.octet_length("word") <= CACHE_BYTES)))
+        # at most a few hundred classes of counts; the most frequent ones that fit are taken whole
+        words = stage(words.select("word", F.floor(F.log2("n") * 8).cast("int").alias("class")), "words")
+        room, least = cache_words, None
+        for row in words.groupBy("class").count().orderBy(F.desc("class")).collect():
+            room -= row["count"]
+            if room < 0:
+                break
+            least = row["class"]
+        top = words.filter(F.lit(False) if least is None else F.col("class") >= least)
+        groups = top.groupBy(F.pmod(F.xxhash64("word"), F.lit(1024)).alias("g")).agg(
+            F.collect_list("word").alias("words"), F.collect_list("class").alias("classes"))
+        got = _encoded(groups.withColumn("w", F.transform("words", _bytes_as_text)), literal).select("words", "classes", "ids").toArrow()
+        words, rank, ids = (pa.concat_arrays([c.flatten() for c in got.column(name).chunks]) if got.num_rows
+                            else pa.array([], got.schema.field(name).type.value_type) for name in ("words", "classes", "ids"))
+        del got  # the driver holds the cache once
+        sizes = pc.list_value_length(ids).to_numpy(zero_copy_only=False).astype(np.int64)
+        # frequent words first: codes of documents then compress well
+        order = np.argsort(-rank.to_numpy(zero_copy_only=False), kind="stable")
+        flat = _take(ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32), _ragged(sizes)[0][order], sizes[order])
+        return cls(words.take(pa.array(order)), sizes[order].astype(np.int32), flat)
 
 
 def _encoded(blocks: DataFrame, literal: Column) -> DataFrame:
@@ -235,19 +296,20 @@ def _encoded(blocks: DataFrame, literal: Column) -> DataFrame:
     return blocks.withColumn("ids", encode_words(F.col("w"), literal))
 
 
-def _blocks(docs: DataFrame, cache: WordCache, crossed: np.ndarray) -> DataFrame:
-    """One row per block: the documents' ids and word counts, a code per word
-    (an index into the cache, or -1 - an index into the block's own words), and
-    the block's own words ``w`` as text of bytes; ``parts`` counts the cut parts
-    of each own word."""
-    shared = docs.sparkSession.sparkContext.broadcast(cache.words.to_pylist())
+def _blocks(docs: DataFrame, cache: WordCache, cutter: Cutter) -> DataFrame:
+    """One row per block: the documents' ids and word counts; a code per word (an
+    index into the cache, or -1 - an index into the block's own words); the
+    number of parts of each own word and each part's index; and the distinct
+    parts ``w`` as text of bytes."""
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast((cache.words, cutter))  # both bounded
     schema = T.StructType([
         T.StructField("doc_ids", T.ArrayType(docs.schema["doc_id"].dataType)), T.StructField("sizes", T.ArrayType(T.IntegerType())),
-        T.StructField("codes", T.BinaryType()), T.StructField("parts", T.ArrayType(T.IntegerType())),
+        T.StructField("codes", T.BinaryType()), T.StructField("counts", T.BinaryType()), T.StructField("parts", T.BinaryType()),
         T.StructField("w", T.ArrayType(T.StringType()))])
 
     def run(batches):
-        known = pa.array(shared.value, pa.string())
+        known, cutter = shared.value
         for batch in batches:
             lists, ids = batch.column(1), batch.column(0)
             sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -260,17 +322,18 @@ def _blocks(docs: DataFrame, cache: WordCache, crossed: np.ndarray) -> DataFrame
                 code = pc.fill_null(pc.index_in(words, value_set=known), -1).to_numpy(zero_copy_only=False).astype(np.int32)
                 own = np.flatnonzero(code < 0)
                 code[own] = -1 - np.arange(len(own), dtype=np.int32)
-                cut = [_cut(w, crossed) if len(w) > LONG else [w.encode().decode("latin-1")] for w in words.take(pa.array(own)).to_pylist()]
-                codes = code[coded.indices.to_numpy(zero_copy_only=False)] if len(words) else code
+                parts, counts = cutter.cut([w.encode() for w in words.take(pa.array(own)).to_pylist()])
+                distinct = pc.dictionary_encode(pa.array(parts, pa.binary()))
+                codes = code[coded.indices.to_numpy(zero_copy_only=False)]
                 yield pa.RecordBatch.from_arrays([
                     pa.array([ids.slice(i, j - i).to_pylist()], pa.list_(ids.type)),
                     pa.array([sizes[i:j].astype(np.int32)], pa.list_(pa.int32())),
-                    pa.array([codes.tobytes()], pa.binary()),
-                    pa.array([[len(c) for c in cut]], pa.list_(pa.int32())),
-                    pa.array([[p for c in cut for p in c]], pa.list_(pa.string()))], names=schema.names)
+                    pa.array([pa.compress(codes.tobytes(), codec="zstd", asbytes=True)], pa.binary()), pa.array([counts.astype(np.int32).tobytes()], pa.binary()),
+                    pa.array([distinct.indices.to_numpy(zero_copy_only=False).astype(np.int32).tobytes()], pa.binary()),
+                    pa.array([[p.decode("latin-1") for p in distinct.dictionary.to_pylist()]], pa.list_(pa.string()))], names=schema.names)
                 i = j
 
-    return docs.select("doc_id", _matches(docs.sparkSession).alias("m")).mapInArrow(run, schema)
+    return docs.select("doc_id", _matches(spark).alias("m")).mapInArrow(run, schema)
 
 
 def _assemble(blocks: DataFrame, cache: WordCache, finish, schema: T.StructType) -> DataFrame:
@@ -283,18 +346,19 @@ def _assemble(blocks: DataFrame, cache: WordCache, finish, schema: T.StructType)
         starts = _ragged(sizes.astype(np.int64))[0]
         for batch in batches:
             for b in range(batch.num_rows):
-                codes = np.frombuffer(batch.column(2)[b].as_py(), np.int32)
-                parts = batch.column(3).slice(b, 1).flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                own = batch.column(4).slice(b, 1).flatten()
+                words = batch.column(1).slice(b, 1).flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+                raw = pa.decompress(batch.column(2)[b].as_py(), int(words.sum()) * 4, codec="zstd", asbytes=True)
+                codes, counts, parts = (np.frombuffer(x, np.int32) for x in (raw, batch.column(3)[b].as_py(), batch.column(4)[b].as_py()))
+                own = batch.column(5).slice(b, 1).flatten()
                 part_sizes = pc.list_value_length(own).to_numpy(zero_copy_only=False).astype(np.int64)
-                own_sizes = np.add.reduceat(part_sizes, _ragged(parts)[0]) if len(parts) else parts
-                own_ids = own.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
+                mine = part_sizes[parts]
+                own_sizes = np.add.reduceat(mine, _ragged(counts.astype(np.int64))[0]) if len(counts) else counts
+                own_ids = _take(own.flatten().to_numpy(zero_copy_only=False).astype(np.int32), _ragged(part_sizes)[0][parts], mine)
                 # own words after the cached ones
                 all_ids = np.concatenate([ids, own_ids])
                 all_sizes = np.concatenate([sizes, own_sizes]).astype(np.int64)
                 all_starts = np.concatenate([starts, len(ids) + _ragged(own_sizes)[0]])
                 at = np.where(codes >= 0, codes, len(sizes) - 1 - codes)
-                words = batch.column(1).slice(b, 1).flatten().to_numpy(zero_copy_only=False).astype(np.int64)
                 doc_ids = batch.column(0).slice(b, 1).flatten()
                 begin, ends = _ragged(words)
                 i = 0
@@ -317,7 +381,8 @@ def encode(docs: DataFrame, path: str | None = None, finish=None, schema: T.Stru
     ranks = load_ranks(path or vocabulary_path())
     literal = rank_literal(ranks)
     cache = WordCache.build(docs, literal, cache_words, sample_docs)
-    blocks = _encoded(_blocks(docs, cache, _crossed(ranks)), literal).select("doc_ids", "sizes", "codes", "parts", "ids")
+    # staged, so that a task has one Python worker at a time
+    blocks = stage(_encoded(_blocks(docs, cache, Cutter(ranks)), literal).drop("w"), "blocks")
     if finish is None:
         schema = T.StructType([docs.schema["doc_id"], T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
