@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
-from quantspark.llm import bpe, licenses, mixing, secrets, simhash, toxicity
+from quantspark.llm import bpe, fingerprints, licenses, mixing, secrets, sharding, simhash, tokenfiles, topk, toxicity
 
 QUERIES = {
+    "op1_fingerprints": fingerprints.op1_fingerprints,
     "op2_licenses": licenses.op2_licenses,
+    "op3_token_counts": tokenfiles.op3_token_counts,
     "op4_bpe": bpe.op4_bpe,
     "op5_mixing": mixing.op5_mixing,
+    "op6_sharding": sharding.op6_sharding,
+    "op7_topk": topk.op7_topk,
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_simhash": simhash.op9_simhash,
     "op10_secrets": secrets.op10_secrets,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_sharding": sharding.oracle(),
+    "op7_topk": topk.ORACLE,
+}
