@@ -8,8 +8,8 @@ hash order of their ids). For every sampled text that names a group, its
 identity terms are swapped for other terms of the same list, and the squared
 change of the logit is added to the loss, so a neutral mention of any one group
 moves no score. Only words in at least ``min_rows`` sampled texts can get a
-weight. The sample's features reach the driver (bounded by ``sample_rows``); the
-weights, at most ``max_words`` pairs of hash and value, go to all tasks.
+weight. The sample's features reach the driver as positions in the list of those words
+(bounded by ``sample_rows``); the weights go to all tasks.
 
 Defined cases: a null or empty text has no words and scores the intercept; a
 null id is never held out and never labelled; of several labels of one id the
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quantspark.llm.common import byte_windows, fresh, read, text_buffer, with_fields
+from quantspark.llm.common import byte_windows, fresh, read, stage, text_buffer, with_fields
 from quantspark.llm.wordhash import separator_table, word_hashes
 
 FOLDS = 5
@@ -67,6 +67,14 @@ def _swaps(groups) -> tuple[np.ndarray, np.ndarray]:
     return a[order], b[order]
 
 
+def _known(sorted_hashes: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(positions in ``h``, positions in ``sorted_hashes``) of what both hold."""
+    at = np.searchsorted(sorted_hashes, h)
+    hit = at < len(sorted_hashes)
+    hit[hit] = sorted_hashes[at[hit]] == h[hit]
+    return np.flatnonzero(hit), at[hit]
+
+
 def _distinct(h: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.lexsort((h, rows))
     h, rows = h[order], rows[order]
@@ -76,96 +84,105 @@ def _distinct(h: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, sample_rows: int) -> DataFrame:
-    """(text, toxic) of at most ``sample_rows`` labelled rows outside the held-out fold."""
+    """(place, toxic, text) of at most ``sample_rows`` labelled rows outside the held-out fold."""
     marks = (labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out())
              .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")))
     picked = (docs.select("doc_id").join(marks, "doc_id").distinct()
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows))
     texts = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")  # bounded by sample_rows
-    return texts.dropDuplicates(["doc_id"]).select("text", "toxic")
+    return texts.dropDuplicates(["doc_id"]).select(F.xxhash64("doc_id").alias("place"), "toxic", "text")
 
 
 def _features(sample: DataFrame) -> DataFrame:
+    """(place, toxic, words: distinct word hashes)."""
     def run(batches):
         for batch in batches:
-            data, offs = text_buffer(batch.column(0))
-            y = batch.column(1).to_pylist()
+            data, offs = text_buffer(batch.column(2))
             for i, j in byte_windows(offs, WINDOW_BYTES):
                 h, rows = _distinct(*word_hashes(data, offs[i:j + 1], SEPARATORS, lower=True))
-                cut = np.searchsorted(rows, np.arange(j - i + 1))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(y[i:j], pa.int32()),
-                     pa.array([h[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary())], names=["toxic", "words"])
+                cut = np.searchsorted(rows, np.arange(j - i + 1)).astype(np.int32)
+                words = pa.ListArray.from_arrays(pa.array(cut), pa.array(h.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([*(c.slice(i, j - i) for c in batch.columns[:2]), words], names=["place", "toxic", "words"])
+
+    return sample.mapInArrow(run, "place long, toxic int, words array<long>")
 
-    return sample.mapInArrow(run, "toxic int, words binary")
+
+def _coded(features: DataFrame, table: np.ndarray) -> DataFrame:
+    """(toxic, words: int32 positions in ``table`` of those it holds), in the order of ``place``."""
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                at = _known(table, np.array(row["words"], np.int64).view(np.uint64))[1]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([row["place"]]), pa.array([row["toxic"]], pa.int32()), pa.array([at.astype(np.int32).tobytes()], pa.binary())],
+                    names=["place", "toxic", "words"])
+
+    # one fixed order, so that reruns add up the same sums
+    return features.mapInArrow(run, "place long, toxic int, words binary").orderBy("place").select("toxic", "words")
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
+def _binary(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of a binary column without nulls, and its row offsets from 0."""
+    offs = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64)
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offs[0]:offs[-1]]
+    return data, offs - offs[0]
+
+
 def train(docs: DataFrame, labels: DataFrame, groups=IDENTITY_TERMS, sample_rows: int = 20_000, min_rows: int = 5,
-          max_words: int = 1 << 18, l1: float | None = None, counterfactual: float = 1.0, steps: int = 150) -> Model:
+          l1: float | None = None, counterfactual: float = 1.0, steps: int = 150) -> Model:
     """Accelerated proximal gradient on mean log loss + l1 * w +
     counterfactual * mean squared logit change under the swaps, then once more
     with a fiftieth of ``l1`` over the words that kept a weight."""
-    got = _features(_sample(docs, labels, sample_rows)).toArrow()
-    y = np.array(got.column("toxic").to_pylist(), dtype=np.float64)
-    sets = [np.frombuffer(x, dtype=np.uint64) for x in got.column("words").to_pylist()]
+    features = stage(_features(_sample(docs, labels, sample_rows)), "features")
+    often = (features.select(F.explode("words").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+             .filter(F.col("n") >= min_rows).select("h").toArrow().column("h").to_numpy())
+    often = np.unique(often.astype(np.int64).view(np.uint64))
+    a, b = _swaps(groups)
+    vocab = np.unique(np.concatenate([often, a, b]))
+    got = _coded(features, vocab).toArrow().combine_chunks()
+    y = got.column("toxic").to_numpy().astype(np.float64)
     if not len(y):
         return Model(np.zeros(0, np.uint64), np.zeros(0), -np.inf)
-    # rows in a fixed order, whatever order the tasks ended in
-    order = sorted(range(len(y)), key=lambda i: (sets[i].tobytes(), y[i]))
-    y, sets = y[order], [sets[i] for i in order]
-    flat = np.concatenate(sets)
-    rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    vocab, col, seen = np.unique(flat, return_inverse=True, return_counts=True)
-    keep = seen >= min_rows
-    if keep.sum() > max_words:
-        keep &= seen >= np.sort(seen)[-max_words]
-    number = np.cumsum(keep) - 1
-    on = keep[col]
-    col, rows = number[col[on]], rows[on]
-    vocab = vocab[keep]
-    m, n = len(vocab), len(y)
-
-    # swapped pairs: for each text with identity terms, the words that go and come
-    a, b = _swaps(groups)
-    gone, gone_row, come, come_row = [], [], [], []
-    pairs = 0
-    for s in sets:
-        at = np.searchsorted(a, s)
-        hit = at < len(a)
-        hit[hit] = a[at[hit]] == s[hit]
-        if hit.any():
-            old, new = s[hit], np.unique(b[at[hit]])
-            new = new[~np.isin(new, s[~hit])]
-            gone.append(old), gone_row.append(np.full(len(old), pairs))
-            come.append(new), come_row.append(np.full(len(new), pairs))
-            pairs += 1
-
-    def known(words, at):
-        if not words:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        words, at = np.concatenate(words), np.concatenate(at)
-        i = np.searchsorted(vocab, words)
-        ok = i < m
-        ok[ok] = vocab[i[ok]] == words[ok]
-        return i[ok], at[ok]
-
-    (gc, gr), (cc, cr) = known(gone, gone_row), known(come, come_row)
-    d_col, d_row = np.r_[gc, cc], np.r_[gr, cr]
-    d_val = np.r_[np.ones(len(gc)), -np.ones(len(cc))]
+    # the rows' words lie one after another in the column's buffer
+    data, cuts = _binary(got.column("words").chunk(0))
+    del got
+    col, sizes, n, m = data.view(np.int32), np.diff(cuts) // 4, len(y), len(vocab)
+    rows = np.repeat(np.arange(n, dtype=np.int32), sizes)
+
+    # swapped pairs: for each text with identity terms, the words that go and come.
+    # A word that does both (another term of its list is there too) cancels out.
+    goes, comes = np.searchsorted(vocab, a), np.searchsorted(vocab, b)
+    new_of = np.full(m, -1)
+    new_of[goes] = comes
+    gone = np.flatnonzero(new_of[col] >= 0)
+    pair_rows, gone_pair = np.unique(rows[gone], return_inverse=True)
+    pairs = len(pair_rows)
+    come = np.unique(np.stack([gone_pair, new_of[col[gone]]], axis=1), axis=0) if pairs else np.zeros((0, 2), np.int64)
+    d_row, d_col = np.r_[gone_pair, come[:, 0]].astype(np.int64), np.r_[col[gone], come[:, 1]].astype(np.int64)
+    d_val = np.r_[np.ones(len(gone)), -np.ones(len(come))]
 
     def fit(keep, penalty):
         """Words of ``keep`` only: weights and intercept."""
         slot = np.cumsum(keep) - 1
         on, d_on = keep[col], keep[d_col]
-        c, r, dc, dr, dv = slot[col[on]], rows[on], slot[d_col[d_on]], d_row[d_on], d_val[d_on]
+        c, r, dc, dr, dv = slot[col[on]].astype(np.int32), rows[on], slot[d_col[d_on]], d_row[d_on], d_val[d_on]
         m = int(keep.sum())
+
+        def by_row(values):
+            return sum(np.bincount(r[p], weights=values[c[p]], minlength=n) for p in parts)
+
+        def by_word(values):
+            return sum(np.bincount(c[p], weights=values[r[p]], minlength=m) for p in parts)
+
+        # in parts, so that temporaries stay small
+        parts = [slice(i, i + (1 << 18)) for i in range(0, max(len(c), 1), 1 << 18)]
         # per-word step sizes: a bound of the curvature by row lengths
         width = np.bincount(r, minlength=n) + 1.0
-        curve = np.bincount(c, weights=width[r] / (4 * n), minlength=m) + 1e-6
+        curve = by_word(width / (4 * n)) + 1e-6
         if pairs:
             d_width = np.bincount(dr, minlength=pairs)
             curve += counterfactual * np.bincount(dc, weights=2.0 * d_width[dr] / pairs, minlength=m)
@@ -174,8 +191,8 @@ def train(docs: DataFrame, labels: DataFrame, groups=IDENTITY_TERMS, sample_rows
         w, bias = np.zeros(m), float(np.log(mean / (1 - mean)))
         vw, vb, t = w, bias, 1.0
         for _ in range(steps):
-            g = (_sigmoid(np.bincount(r, weights=vw[c], minlength=n) + vb) - y) / n
-            grad = np.bincount(c, weights=g[r], minlength=m)
+            g = (_sigmoid(by_row(vw) + vb) - y) / n
+            grad = by_word(g)
             if pairs:
                 change = np.bincount(dr, weights=dv * vw[dc], minlength=pairs)
                 grad += counterfactual * 2 / pairs * np.bincount(dc, weights=dv * change[dr], minlength=m)
@@ -188,9 +205,10 @@ def train(docs: DataFrame, labels: DataFrame, groups=IDENTITY_TERMS, sample_rows
     # noise in a mean over n rows shrinks with the root of n
     l1 = max(5e-4, 0.05 / np.sqrt(n)) if l1 is None else l1
     # a strong penalty picks the words, a weak one sets their weights
-    keep = fit(np.ones(m, bool), l1)[0] != 0
-    vocab = vocab[keep]
+    keep = np.isin(vocab, often)
+    keep[keep] = fit(keep, l1)[0] != 0
     w, bias = fit(keep, l1 / 50)
+    vocab = vocab[keep]
     used = w != 0
     return Model(vocab[used], w[used], float(bias))
 
