@@ -13,7 +13,7 @@
 
 Words that are frequent in a bounded sample of documents are folded once for all
 blocks: at most ``cache_words`` of them, of ``CACHE_BYTES`` bytes or fewer, are
-sent to all tasks. This saves work and changes no result.
+kept in a table that all tasks read. This saves work and changes no result.
 
 Bytes are written as the code points 0 to 255 while they are folded, so that
 pieces are strings. In words of more than ``LONG`` parts all places of the
@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quantspark.llm.common import read, stage
+from quantspark.llm.common import arrow_batches, open_fs, read, shared_path, stage
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 BLOCK_WORDS = 1 << 20
@@ -257,13 +257,17 @@ def _take(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarr
 
 
 class WordCache:
-    """Frequent words and their ids, in flat arrays."""
+    """Frequent words and their ids, in flat arrays; kept as a table in the
+    shared folder, which each Python worker reads once."""
+
+    loaded: dict[str, WordCache] = {}
 
     def __init__(self, words: pa.Array, sizes: np.ndarray, ids: np.ndarray):
         self.words, self.sizes, self.ids = words, sizes, ids
 
-    @classmethod
-    def build(cls, docs: DataFrame, literal: Column, cache_words: int, sample_docs: int) -> WordCache:
+    @staticmethod
+    def build(docs: DataFrame, literal: Column, cache_words: int, sample_docs: int) -> str:
+        """Folder of the cache's table."""
         # about ``sample_docs`` rows, by a hash of the id
         share = min(1.0, sample_docs / max(docs.count(), 1))
         picked = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
@@ -280,15 +284,29 @@ class WordCache:
         top = words.filter(F.lit(False) if least is None else F.col("class") >= least)
         groups = top.groupBy(F.pmod(F.xxhash64("word"), F.lit(1024)).alias("g")).agg(
             F.collect_list("word").alias("words"), F.collect_list("class").alias("classes"))
-        got = _encoded(groups.withColumn("w", F.transform("words", _bytes_as_text)), literal).select("words", "classes", "ids").toArrow()
-        words, rank, ids = (pa.concat_arrays([c.flatten() for c in got.column(name).chunks]) if got.num_rows
-                            else pa.array([], got.schema.field(name).type.value_type) for name in ("words", "classes", "ids"))
-        del got  # the driver holds the cache once
-        sizes = pc.list_value_length(ids).to_numpy(zero_copy_only=False).astype(np.int64)
-        # frequent words first: codes of documents then compress well
-        order = np.argsort(-rank.to_numpy(zero_copy_only=False), kind="stable")
-        flat = _take(ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32), _ragged(sizes)[0][order], sizes[order])
-        return cls(words.take(pa.array(order)), sizes[order].astype(np.int32), flat)
+        folder = shared_path(docs.sparkSession, "word-cache")
+        _encoded(groups.withColumn("w", F.transform("words", _bytes_as_text)), literal).select("words", "classes", "ids").write.parquet(folder)
+        return folder
+
+    @classmethod
+    def load(cls, folder: str) -> WordCache:
+        if folder not in cls.loaded:
+            import pyarrow.parquet as pq
+            from pyarrow import fs
+            files, root = open_fs(folder)
+            names = sorted(f.path for f in files.get_file_info(fs.FileSelector(root)) if f.base_name.endswith(".parquet"))
+            tables = [pq.read_table(n, filesystem=files) for n in names]
+            words, rank, ids = (pa.concat_arrays([c.flatten() for t in tables for c in t.column(name).chunks] or [pa.array([], kind)])
+                                for name, kind in (("words", pa.string()), ("classes", pa.int32()), ("ids", pa.list_(pa.int32()))))
+            sizes = pc.list_value_length(ids).to_numpy(zero_copy_only=False).astype(np.int64)
+            # frequent words first: codes of documents then compress well
+            order = np.argsort(-rank.to_numpy(zero_copy_only=False), kind="stable")
+            flat = _take(ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32), _ragged(sizes)[0][order], sizes[order])
+            cls.loaded.clear()  # one at a time
+            cls.loaded[folder] = cls(words.take(pa.array(order)), sizes[order].astype(np.int32), flat)
+            del tables, words, rank, ids
+            pa.default_memory_pool().release_unused()
+        return cls.loaded[folder]
 
 
 def _encoded(blocks: DataFrame, literal: Column) -> DataFrame:
@@ -296,20 +314,20 @@ def _encoded(blocks: DataFrame, literal: Column) -> DataFrame:
     return blocks.withColumn("ids", encode_words(F.col("w"), literal))
 
 
-def _blocks(docs: DataFrame, cache: WordCache, cutter: Cutter) -> DataFrame:
+def _blocks(docs: DataFrame, cache: str, cutter: Cutter) -> DataFrame:
     """One row per block: the documents' ids and word counts; a code per word (an
     index into the cache, or -1 - an index into the block's own words); the
     number of parts of each own word and each part's index; and the distinct
     parts ``w`` as text of bytes."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((cache.words, cutter))  # both bounded
+    shared = spark.sparkContext.broadcast(cutter)  # of a fixed size
     schema = T.StructType([
         T.StructField("doc_ids", T.ArrayType(docs.schema["doc_id"].dataType)), T.StructField("sizes", T.ArrayType(T.IntegerType())),
         T.StructField("codes", T.BinaryType()), T.StructField("counts", T.BinaryType()), T.StructField("parts", T.BinaryType()),
         T.StructField("w", T.ArrayType(T.StringType()))])
 
     def run(batches):
-        known, cutter = shared.value
+        known, cutter = WordCache.load(cache).words, shared.value
         for batch in batches:
             lists, ids = batch.column(1), batch.column(0)
             sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -336,13 +354,12 @@ def _blocks(docs: DataFrame, cache: WordCache, cutter: Cutter) -> DataFrame:
     return docs.select("doc_id", _matches(spark).alias("m")).mapInArrow(run, schema)
 
 
-def _assemble(blocks: DataFrame, cache: WordCache, finish, schema: T.StructType) -> DataFrame:
+def _assemble(blocks: DataFrame, cache: str, finish, schema: T.StructType) -> DataFrame:
     """``finish(doc_ids, offsets, ids)`` makes a record batch of documents whose
     ids are ids[offsets[i]:offsets[i + 1]]."""
-    shared = blocks.sparkSession.sparkContext.broadcast((cache.sizes, cache.ids))
-
     def run(batches):
-        sizes, ids = shared.value
+        known = WordCache.load(cache)
+        sizes, ids = known.sizes, known.ids
         starts = _ragged(sizes.astype(np.int64))[0]
         for batch in batches:
             for b in range(batch.num_rows):
@@ -382,7 +399,8 @@ def encode(docs: DataFrame, path: str | None = None, finish=None, schema: T.Stru
     literal = rank_literal(ranks)
     cache = WordCache.build(docs, literal, cache_words, sample_docs)
     # staged, so that a task has one Python worker at a time
-    blocks = stage(_encoded(_blocks(docs, cache, Cutter(ranks)), literal).drop("w"), "blocks")
+    with arrow_batches(docs.sparkSession, 2000, "16m"):
+        blocks = stage(_encoded(_blocks(docs, cache, Cutter(ranks)), literal).drop("w"), "blocks")
     if finish is None:
         schema = T.StructType([docs.schema["doc_id"], T.StructField("ids", T.ArrayType(T.IntegerType()))])
 

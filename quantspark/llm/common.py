@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,27 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def open_fs(uri: str):
+    """(filesystem, path) of a folder that driver and tasks share."""
+    from pyarrow import fs
+    return fs.FileSystem.from_uri(uri)
+
+
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int, size: str):
+    """Smaller Arrow batches for an action within: a task holds two at a time on
+    either side."""
+    keys = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows), "spark.sql.execution.arrow.maxBytesPerBatch": size}
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, with underscores in front until no column has it."""
     have = {c.lower() for c in df.columns}

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quantspark.llm.bpe import load_ranks, vocabulary_path
-from quantspark.llm.common import read, shared_path, stage
+from quantspark.llm.common import open_fs, read, shared_path, stage
 
 END_OF_DOCUMENT = 50_256
 WIDTH = 2
@@ -42,11 +42,6 @@ BLOCK_TOKENS = 1 << 21
 CHUNK_ROWS = 256
 
 
-def _open(uri: str):
-    from pyarrow import fs
-    return fs.FileSystem.from_uri(uri)
-
-
 def write_files(docs: DataFrame, folder: str, path: str | None = None, end: int = END_OF_DOCUMENT, width: int = WIDTH) -> DataFrame:
     """Write token files into ``folder`` and return the staged manifest (file, position, doc_id)."""
     schema = T.StructType([T.StructField("file", T.StringType()), T.StructField("position", T.LongType()), docs.schema["doc_id"]])
@@ -59,7 +54,7 @@ def write_files(docs: DataFrame, folder: str, path: str | None = None, end: int
         encoding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks.value, special_tokens={})
         task = TaskContext.get()
         name = f"tokens-{task.partitionId():06d}.bin"
-        files, root = _open(folder)
+        files, root = open_fs(folder)
         files.create_dir(root, recursive=True)
         draft, done = f"{root}/_{name}.{task.taskAttemptId()}", 0
         with files.open_output_stream(draft) as out:
@@ -80,7 +75,7 @@ def write_files(docs: DataFrame, folder: str, path: str | None = None, end: int
 def list_files(folder: str) -> list[tuple[str, int]]:
     """(name, bytes) of the token files of a folder."""
     from pyarrow import fs
-    files, root = _open(folder)
+    files, root = open_fs(folder)
     found = files.get_file_info(fs.FileSelector(root, allow_not_found=True))
     return sorted((f.base_name, f.size) for f in found if f.is_file and not f.base_name.startswith(("_", ".")))
 
@@ -97,7 +92,7 @@ def scan(spark: SparkSession, folder: str, names: Sequence[tuple[str, int]] | No
     n = sum(max(1, -(-size // (width * block_tokens))) for _, size in names)
 
     def run(batches):
-        files, root = _open(folder)
+        files, root = open_fs(folder)
         for batch in batches:
             for row in batch.to_pylist():
                 start = row["block"] * block_tokens
