@@ -109,7 +109,7 @@ def _assign(rows: DataFrame, weights, cap: int, schedules) -> DataFrame:
     def copy(r):
         at = F.col("start") + r * F.col("source_size")
         words = F.greatest(F.least(goal - at, F.col("size")), F.lit(0).cast("long"))
-        share = F.least(at / F.col("target"), F.lit(1.0))
+        share = F.least(F.coalesce(F.try_divide(at.cast("double"), F.col("target")), F.lit(0.0)), F.lit(1.0))
         return F.struct(r.cast("int").alias("copy"), words.alias("words"), training_time(share, F.col("sid"), schedules).alias("position"))
 
     copies = F.filter(F.transform(F.sequence(F.lit(0).cast("long"), F.lit(cap - 1).cast("long")), copy), lambda c: c["words"] > 0)
