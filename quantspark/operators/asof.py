@@ -86,9 +86,13 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_on: s
             edge = rights.groupBy(*keys, _B).agg(F.min_by(_R, F.struct(_T, _TB)).alias("_qs_e"))
             cw = Window.partitionBy(*keys).orderBy(F.col(_B).desc()).rowsBetween(Window.unboundedPreceding, -1)
             carry_of = lambda: F.last("_qs_e", ignorenulls=True).over(cw)
-        spine = u.select(*keys, _B).distinct().join(edge, [*keys, _B], "left")
-        carry = spine.select(*keys, _B, carry_of().alias("_qs_c"))
-        u = u.join(carry, [*keys, _B], "left").withColumn("_qs_m", F.coalesce("_qs_m", "_qs_c"))
+        # joined on one struct, never null itself, so that null keys match too
+        k = "_qs_key"
+        u = u.withColumn(k, F.struct(*[F.col(c) for c in (*keys, _B)]))
+        edge = edge.select(F.struct(*[F.col(c) for c in (*keys, _B)]).alias(k), "_qs_e")
+        spine = u.select(k).distinct().join(edge, k, "left").select(k, f"{k}.*", "_qs_e")
+        carry = spine.select(k, carry_of().alias("_qs_c"))
+        u = u.join(carry, k, "left").withColumn("_qs_m", F.coalesce("_qs_m", "_qs_c"))
 
     out = u.filter(F.col(_SIDE) == l_side)
     sel = [F.col(c) for c in l_cols]

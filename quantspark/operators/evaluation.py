@@ -30,11 +30,20 @@ def chronological_split(df: DataFrame, pos: str, n: str, fractions: Sequence[flo
 
 
 def expanding_fold(pos: str, n: str, k: int) -> tuple[Column, Column]:
-    """E5: expanding-window folds, fold size n // (k + 1). Returns (fold of
-    the test block the row belongs to or null, fold size)."""
+    """E5: expanding-window folds whose test blocks are the last k blocks of
+    n // (k + 1) rows; what is left over goes to the first train block.
+    Returns (fold 1..k of the test block the row belongs to or null, size)."""
     size = F.floor(F.col(n) / (k + 1))
-    block = F.floor((F.col(pos) - 1) / size)
-    return F.when((block >= 1) & (block <= k), block.cast("int")), size
+    past = F.col(pos) - 1 - (F.col(n) - size * k)
+    return F.when((size > 0) & (past >= 0), (F.floor(F.try_divide(past, size)) + 1).cast("int")), size
+
+
+def k_fold(pos: str, n: Column, k: int) -> Column:
+    """Contiguous fold ids 0..k-1; the first n mod k folds get one row more."""
+    size, more, at = F.floor(n / k), n % k, F.col(pos) - 1
+    long_part = more * (size + 1)
+    return F.when(at < long_part, F.floor(at / (size + 1))).otherwise(
+        more + F.floor(F.try_divide(at - long_part, size))).cast("int")
 
 
 def random_split(key: Column, seed: int = 42, train_pct: int = 80) -> Column:
@@ -44,7 +53,8 @@ def random_split(key: Column, seed: int = 42, train_pct: int = 80) -> Column:
 
 def regression_metrics(df: DataFrame, keys: Sequence[str], y: str, p: str) -> DataFrame:
     """V1: RMSE, MAE, R², MAPE (non-zero y), mean error, median AE, max
-    error, relative RMSE/MAE; finite rows only."""
+    error, relative RMSE/MAE; finite rows only. The mean error is prediction
+    minus truth."""
     d = df.filter(F.col(y).isNotNull() & F.col(p).isNotNull())
     err = F.col(y) - F.col(p)
     return d.groupBy(*keys).agg(
@@ -53,19 +63,21 @@ def regression_metrics(df: DataFrame, keys: Sequence[str], y: str, p: str) -> Da
         F.avg(F.abs(err)).alias("mae"),
         (1 - F.sum(err * err) / F.nullif(F.var_pop(y) * F.count(F.lit(1)), F.lit(0.0))).alias("r2"),
         (F.avg(F.when(F.col(y) != 0, F.abs(err / F.col(y)))) * 100).alias("mape"),
-        F.avg(err).alias("mean_error"),
+        F.avg(-err).alias("mean_error"),
         F.percentile(F.abs(err), 0.5).alias("median_ae"),
         F.max(F.abs(err)).alias("max_error"),
         (F.sqrt(F.avg(err * err)) / F.nullif(F.avg(y), F.lit(0.0))).alias("rel_rmse"),
         (F.avg(F.abs(err)) / F.nullif(F.avg(y), F.lit(0.0))).alias("rel_mae"))
 
 
-def overfit(train_r2: Column, test_r2: Column) -> tuple[Column, Column]:
-    """V6: R² gap and its severity band."""
-    gap = train_r2 - test_r2
+def overfit(train: dict[str, Column], test: dict[str, Column]) -> tuple[Column, Column]:
+    """V6: overfitting score, the mean of the positive parts of the relative
+    RMSE and MAE gaps and of the R² gap, and its severity band."""
+    gaps = [(test[m] - train[m]) / (train[m] + F.lit(1e-10)) for m in ("rmse", "mae")] + [train["r2"] - test["r2"]]
+    score = sum(F.greatest(g, F.lit(0.0)) for g in gaps) / 3
     a, b, c = OVERFIT_BANDS
-    band = (F.when(gap < a, "None").when(gap < b, "Mild").when(gap < c, "Moderate").otherwise("Severe"))
-    return gap, band
+    band = (F.when(score < a, "None").when(score < b, "Mild").when(score < c, "Moderate").otherwise("Severe"))
+    return score, band
 
 
 def classification_metrics(df: DataFrame, keys: Sequence[str], y: str, pred: str) -> DataFrame:
@@ -96,13 +108,15 @@ def roc_auc(df: DataFrame, keys: Sequence[str], y: str, score: str) -> DataFrame
 
 
 def direction_accuracy(df: DataFrame, keys: Sequence[str], order: str, y: str, p: str) -> DataFrame:
-    """V2: share of rows where sign(pred - previous y) equals
-    sign(y - previous y); and sign(pred) == sign(y)."""
+    """V2: share of rows where the prediction moves as the truth does, each
+    against its own previous value (the first row's previous value is itself,
+    so it counts as no move for both); null for a single row. And the share
+    with sign(pred) == sign(y). Finite rows only."""
     w = Window.partitionBy(*keys).orderBy(order)
-    prev = F.lag(y, 1).over(w)
-    d = df.select(*keys, y, p, prev.alias("_prev"))
+    d = df.filter(F.col(y).isNotNull() & F.col(p).isNotNull())
+    d = d.select(*keys, y, p, (F.col(y) - F.coalesce(F.lag(y, 1).over(w), F.col(y))).alias("_dy"),
+                 (F.col(p) - F.coalesce(F.lag(p, 1).over(w), F.col(p))).alias("_dp"))
+    same = F.avg((F.signum("_dy") == F.signum("_dp")).cast("double"))
     return d.groupBy(*keys).agg(
-        F.avg(F.when(F.col("_prev").isNotNull(),
-                     (F.signum(F.col(p) - F.col("_prev")) == F.signum(F.col(y) - F.col("_prev"))).cast("double")))
-         .alias("direction_accuracy_prev"),
+        F.when(F.count(F.lit(1)) > 1, same).alias("direction_accuracy"),
         F.avg((F.signum(F.col(p)) == F.signum(F.col(y))).cast("double")).alias("sign_accuracy"))

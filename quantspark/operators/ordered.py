@@ -48,10 +48,15 @@ def _join_on(left: DataFrame, right: DataFrame, keys: Sequence[str],
              how: str = "inner") -> DataFrame:
     # Plain equi-join on the names: both sides are already hash-partitioned
     # on these keys by the preceding window/aggregate, so the big side is
-    # not shuffled again. Series keys must be non-null.
+    # not shuffled again. Callers join on one struct of the series keys, which
+    # is itself never null, so rows with null keys find their match.
     return left.join(right, list(keys), how)
 
 
+def _key(*parts: str) -> Column:
+    return F.struct(*[F.col(p) for p in parts])
+
+
 def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
                 bucket: Column) -> DataFrame:
     """Adds ``_qs_rn``: 1-based position in (keys) ordered by ``order``.
@@ -62,12 +67,14 @@ def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     """
     b = "_qs_bucket"
     d = df.withColumn(b, bucket)
-    counts = d.groupBy(*keys, b).agg(F.count(F.lit(1)).alias("_qs_n"))
-    carry = Window.partitionBy(*keys).orderBy(b)
-    offsets = counts.select(*keys, b, (F.sum("_qs_n").over(carry) - F.col("_qs_n")).alias("_qs_off"))
-    d = d.withColumn(ROW, F.row_number().over(Window.partitionBy(*keys, b).orderBy(*order)))
-    d = _join_on(d, offsets, [*keys, b])
-    return d.withColumn(ROW, F.col(ROW) + F.col("_qs_off")).drop("_qs_off", b)
+    k = "_qs_key"
+    d = d.withColumn(k, _key(*keys, b))
+    counts = d.groupBy(k).agg(F.count(F.lit(1)).alias("_qs_n"))
+    carry = Window.partitionBy(*[F.col(f"{k}.{c}") for c in keys]).orderBy(f"{k}.{b}")
+    offsets = counts.select(k, (F.sum("_qs_n").over(carry) - F.col("_qs_n")).alias("_qs_off"))
+    d = d.withColumn(ROW, F.row_number().over(Window.partitionBy(k).orderBy(*order)))
+    d = _join_on(d, offsets, [k])
+    return d.withColumn(ROW, F.col(ROW) + F.col("_qs_off")).drop("_qs_off", b, k)
 
 
 def _with_halo(d: DataFrame, back: int, fwd: int, chunk_rows: int) -> DataFrame:
@@ -152,8 +159,10 @@ def prefix_select(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
     if bucket is None:
         raise ValueError("chunked prefixes need a bucket column")
     d = number_rows(df, keys, order, bucket).withColumn(CHUNK, F.floor((F.col(ROW) - 1) / chunk_rows))
-    w = Window.partitionBy(*keys, CHUNK).orderBy(ROW)
-    rev = Window.partitionBy(*keys, CHUNK).orderBy(F.col(ROW).desc())
+    k = "_qs_key"
+    d = d.withColumn(k, _key(*keys, CHUNK))
+    w = Window.partitionBy(k).orderBy(ROW)
+    rev = Window.partitionBy(k).orderBy(F.col(ROW).desc())
     local = [_direct(kind, c, w, rev).alias(f"_qs_l_{out}") for kind, c, out in specs]
     d = d.select("*", *local)
 
@@ -170,9 +179,10 @@ def prefix_select(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
             aggs.append(F.min_by(c, F.when(F.col(c).isNotNull(), F.col(ROW))).alias(f"_qs_t_{out}"))
         else:
             raise ValueError(kind)
-    summary = d.groupBy(*keys, CHUNK).agg(*aggs)
-    before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.partitionBy(*keys).orderBy(F.col(CHUNK).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    summary = d.groupBy(k).agg(*aggs)
+    series, chunk = [F.col(f"{k}.{c}") for c in keys], F.col(f"{k}.{CHUNK}")
+    before = Window.partitionBy(*series).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy(*series).orderBy(chunk.desc()).rowsBetween(Window.unboundedPreceding, -1)
     carried = []
     for kind, c, out in specs:
         t = F.col(f"_qs_t_{out}")
@@ -182,8 +192,8 @@ def prefix_select(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
             carried.append(F.last(t, ignorenulls=True).over(before).alias(f"_qs_c_{out}"))
         else:
             carried.append(F.last(t, ignorenulls=True).over(after).alias(f"_qs_c_{out}"))
-    summary = summary.select(*keys, CHUNK, *carried)
-    d = _join_on(d, summary, [*keys, CHUNK], "left")
+    summary = summary.select(k, *carried)
+    d = _join_on(d, summary, [k], "left")
 
     final = []
     for kind, c, out in specs:

@@ -36,10 +36,11 @@ def q_e1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_v1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V1 + V6: metrics per (asset, split) and the train-test overfit band."""
     m = EV.regression_metrics(scored(spark, sf_dir), ["asset", "split"], "y", "pred")
-    tr = m.filter(F.col("split") == "train").select("asset", F.col("r2").alias("_tr2"))
+    names = ("rmse", "mae", "r2")
+    tr = m.filter(F.col("split") == "train").select("asset", *[F.col(c).alias(f"_t_{c}") for c in names])
     m = m.join(tr, "asset", "left")
-    gap, band = EV.overfit(F.col("_tr2"), F.col("r2"))
-    return round_doubles(m.select("*", gap.alias("r2_gap"), band.alias("overfit")).drop("_tr2"))
+    score, band = EV.overfit({c: F.col(f"_t_{c}") for c in names}, {c: F.col(c) for c in names})
+    return round_doubles(m.select("*", score.alias("overfit_score"), band.alias("overfit")).drop(*[f"_t_{c}" for c in names]))
 
 
 def q_e5(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,7 +91,7 @@ SQL_E1 = f"SELECT asset, split, count(*) AS rows, min(pos) AS first_pos, max(pos
 def _metrics_sql(keys: str, src: str) -> str:
     return f"""SELECT {keys}, count(*) AS n, sqrt(avg((y - pred) * (y - pred))) AS rmse, avg(abs(y - pred)) AS mae,
   1 - sum((y - pred) * (y - pred)) / nullif(var_pop(y) * count(*), 0) AS r2,
-  avg(CASE WHEN y <> 0 THEN abs((y - pred) / y) END) * 100 AS mape, avg(y - pred) AS mean_error,
+  avg(CASE WHEN y <> 0 THEN abs((y - pred) / y) END) * 100 AS mape, avg(pred - y) AS mean_error,
   quantile_cont(abs(y - pred), 0.5) AS median_ae, max(abs(y - pred)) AS max_error,
   sqrt(avg((y - pred) * (y - pred))) / nullif(avg(y), 0) AS rel_rmse, avg(abs(y - pred)) / nullif(avg(y), 0) AS rel_mae
 FROM ({src}) s WHERE y IS NOT NULL AND pred IS NOT NULL GROUP BY {keys}"""
@@ -99,15 +100,15 @@ FROM ({src}) s WHERE y IS NOT NULL AND pred IS NOT NULL GROUP BY {keys}"""
 _MET = ["rmse", "mae", "r2", "mape", "mean_error", "median_ae", "max_error", "rel_rmse", "rel_mae"]
 SQL_V1 = sql_round_select(f"""
 WITH m AS ({_metrics_sql('asset, split', SQL_SCORED)}),
-t AS (SELECT asset, r2 AS tr2 FROM m WHERE split = 'train')
-SELECT m.*, tr2 - r2 AS r2_gap,
-  CASE WHEN tr2 - r2 < 0.1 THEN 'None' WHEN tr2 - r2 < 0.2 THEN 'Mild' WHEN tr2 - r2 < 0.4 THEN 'Moderate'
-       ELSE 'Severe' END AS overfit
-FROM m LEFT JOIN t USING (asset)""", ["asset", "split", "n", "overfit"], _MET + ["r2_gap"])
+t AS (SELECT asset, rmse AS t_rmse, mae AS t_mae, r2 AS t_r2 FROM m WHERE split = 'train'),
+g AS (SELECT m.*, (greatest((rmse - t_rmse) / (t_rmse + 1e-10), 0) + greatest((mae - t_mae) / (t_mae + 1e-10), 0)
+                   + greatest(t_r2 - r2, 0)) / 3 AS overfit_score FROM m LEFT JOIN t USING (asset))
+SELECT *, CASE WHEN overfit_score < 0.1 THEN 'None' WHEN overfit_score < 0.2 THEN 'Mild' WHEN overfit_score < 0.4 THEN 'Moderate'
+       ELSE 'Severe' END AS overfit FROM g""", ["asset", "split", "n", "overfit"], _MET + ["overfit_score"])
 
 SQL_E5 = sql_round_select(f"""
-WITH s AS (SELECT *, CAST(floor((pos - 1) / floor(n / {FOLDS + 1})) AS INTEGER) AS fold, floor(n / {FOLDS + 1}) AS fold_size
-           FROM ({SQL_SCORED}) x),
+WITH z AS (SELECT *, floor(n / {FOLDS + 1}) AS fold_size FROM ({SQL_SCORED}) x),
+s AS (SELECT *, CAST(floor((pos - 1 - (n - {FOLDS} * fold_size)) / nullif(fold_size, 0)) + 1 AS INTEGER) AS fold FROM z),
 f AS (SELECT * FROM s WHERE fold BETWEEN 1 AND {FOLDS}),
 m AS ({_metrics_sql('asset, fold', 'SELECT * FROM f')}),
 st AS (SELECT asset, fold, stddev_samp(y) AS y_std, avg(y) AS y_mean, CAST(min(fold_size) AS BIGINT) AS fold_size
@@ -132,12 +133,13 @@ r AS (SELECT asset, label, rank() OVER (PARTITION BY asset ORDER BY pred) + (cou
 au AS (SELECT asset, count(*) FILTER (WHERE label = 1) AS n_pos, count(*) FILTER (WHERE label = 0) AS n_neg,
               (sum(CASE WHEN label = 1 THEN rk END) - count(*) FILTER (WHERE label = 1) * (count(*) FILTER (WHERE label = 1) + 1) / 2.0)
               / nullif(count(*) FILTER (WHERE label = 1) * count(*) FILTER (WHERE label = 0), 0) AS roc_auc FROM r GROUP BY 1),
-dr0 AS (SELECT asset, y, pred, lag(y) OVER (PARTITION BY asset ORDER BY bar_ts) AS prev FROM t),
-dr AS (SELECT asset, avg(CASE WHEN prev IS NOT NULL THEN CAST(sign(pred - prev) = sign(y - prev) AS DOUBLE) END) AS direction_accuracy_prev,
+dr0 AS (SELECT asset, y, pred, lag(y, 1, y) OVER w AS py, lag(pred, 1, pred) OVER w AS pp FROM t
+        WHERE y IS NOT NULL AND pred IS NOT NULL WINDOW w AS (PARTITION BY asset ORDER BY bar_ts)),
+dr AS (SELECT asset, CASE WHEN count(*) > 1 THEN avg(CAST(sign(pred - pp) = sign(y - py) AS DOUBLE)) END AS direction_accuracy,
               avg(CAST(sign(pred) = sign(y) AS DOUBLE)) AS sign_accuracy FROM dr0 GROUP BY 1)
 SELECT * FROM cm3 JOIN au USING (asset) JOIN dr USING (asset)""",
     ["asset", "tp", "fp", "fn", "tn", "n_pos", "n_neg"],
-    ["accuracy", "precision", "recall", "f1", "roc_auc", "direction_accuracy_prev", "sign_accuracy"])
+    ["accuracy", "precision", "recall", "f1", "roc_auc", "direction_accuracy", "sign_accuracy"])
 
 QUERIES = {"e1": q_e1, "v1": q_v1, "e5": q_e5, "v3": q_v3, "e8": q_e8}
 ORACLE = {"e1": SQL_E1, "v1": SQL_V1, "e5": SQL_E5, "v3": SQL_V3}

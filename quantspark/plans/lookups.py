@@ -83,12 +83,10 @@ def q_k5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_v5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V5: test-split metrics by volatility regime (y below the train 25th
-    percentile, between, above the 75th)."""
-    s = scored(spark, sf_dir)
-    q = s.filter(F.col("split") == "train").groupBy("asset").agg(F.percentile("y", 0.25).alias("q25"),
-                                                                F.percentile("y", 0.75).alias("q75"))
-    t = s.filter(F.col("split") == "test").join(q, "asset")
+    """V5: test-split metrics by volatility regime (y up to the evaluated
+    rows' 25th percentile, up to their 75th, above)."""
+    t = scored(spark, sf_dir).filter((F.col("split") == "test") & F.col("y").isNotNull() & F.col("pred").isNotNull())
+    t = t.join(t.groupBy("asset").agg(F.percentile("y", 0.25).alias("q25"), F.percentile("y", 0.75).alias("q75")), "asset")
     t = t.withColumn("regime", F.when(F.col("y") <= F.col("q25"), "low").when(F.col("y") <= F.col("q75"), "normal")
                      .otherwise("high"))
     return round_doubles(EV.regression_metrics(t, ["asset", "regime"], "y", "pred"))
@@ -102,7 +100,7 @@ def q_e2(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = number_rows(o, [], ["o_orderdate", "o_orderkey"], F.col("day")).withColumnRenamed("_qs_rn", "pos")
     n = o.count()
     o = o.select("*", F.when(F.col("day") <= F.lit(cut), "train").otherwise("test").alias("split"),
-                 F.floor((F.col("pos") - 1) * K_FOLDS / F.lit(n)).cast("int").alias("fold"))
+                 EV.k_fold("pos", F.lit(n), K_FOLDS).alias("fold"))
     return o.groupBy("split", "fold").agg(F.count(F.lit(1)).alias("rows"), F.min("pos").alias("first_pos"),
                                           F.max("pos").alias("last_pos"))
 
@@ -132,12 +130,13 @@ SQL_K5 = f"""SELECT o_orderpriority, count(*) AS n, d.display_order FROM orders
 LEFT JOIN (VALUES {_ORD}) d(o_orderpriority, display_order) USING (o_orderpriority) GROUP BY 1, 3 ORDER BY 3"""
 SQL_V5 = sql_round_select(f"""
 WITH s AS ({SQL_SCORED}),
-q AS (SELECT asset, quantile_cont(y, 0.25) AS q25, quantile_cont(y, 0.75) AS q75 FROM s WHERE split = 'train' GROUP BY 1),
-t AS (SELECT s.*, CASE WHEN y <= q25 THEN 'low' WHEN y <= q75 THEN 'normal' ELSE 'high' END AS regime
-      FROM s JOIN q USING (asset) WHERE split = 'test' AND y IS NOT NULL AND pred IS NOT NULL)
+e AS (SELECT * FROM s WHERE split = 'test' AND y IS NOT NULL AND pred IS NOT NULL),
+q AS (SELECT asset, quantile_cont(y, 0.25) AS q25, quantile_cont(y, 0.75) AS q75 FROM e GROUP BY 1),
+t AS (SELECT e.*, CASE WHEN y <= q25 THEN 'low' WHEN y <= q75 THEN 'normal' ELSE 'high' END AS regime
+      FROM e JOIN q USING (asset))
 SELECT asset, regime, count(*) AS n, sqrt(avg((y - pred) * (y - pred))) AS rmse, avg(abs(y - pred)) AS mae,
   1 - sum((y - pred) * (y - pred)) / nullif(var_pop(y) * count(*), 0) AS r2,
-  avg(CASE WHEN y <> 0 THEN abs((y - pred) / y) END) * 100 AS mape, avg(y - pred) AS mean_error,
+  avg(CASE WHEN y <> 0 THEN abs((y - pred) / y) END) * 100 AS mape, avg(pred - y) AS mean_error,
   quantile_cont(abs(y - pred), 0.5) AS median_ae, max(abs(y - pred)) AS max_error,
   sqrt(avg((y - pred) * (y - pred))) / nullif(avg(y), 0) AS rel_rmse, avg(abs(y - pred)) / nullif(avg(y), 0) AS rel_mae
 FROM t GROUP BY 1, 2""", ["asset", "regime", "n"],
@@ -146,7 +145,8 @@ SQL_E2 = f"""
 WITH o AS (SELECT o_orderkey, o_orderdate, CAST(CAST(o_orderdate AS DATE) - DATE '1970-01-01' AS INTEGER) AS day,
                   row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS pos, count(*) OVER () AS n FROM orders),
 c AS (SELECT quantile_cont(day, {SPLIT_QUANTILE}) AS cut FROM o)
-SELECT CASE WHEN day <= cut THEN 'train' ELSE 'test' END AS split, CAST(floor((pos - 1) * {K_FOLDS} / n) AS INTEGER) AS fold,
+SELECT CASE WHEN day <= cut THEN 'train' ELSE 'test' END AS split, CAST(CASE WHEN pos - 1 < (n % {K_FOLDS}) * (n // {K_FOLDS} + 1) THEN (pos - 1) // (n // {K_FOLDS} + 1)
+            ELSE n % {K_FOLDS} + (pos - 1 - (n % {K_FOLDS}) * (n // {K_FOLDS} + 1)) // (n // {K_FOLDS}) END AS INTEGER) AS fold,
        count(*) AS rows, min(pos) AS first_pos, max(pos) AS last_pos FROM o, c GROUP BY 1, 2"""
 
 QUERIES = {"p9": q_p9, "j17": q_j17, "j21": q_j21, "j22": q_j22, "k5": q_k5, "v5": q_v5, "e2": q_e2}

@@ -106,10 +106,11 @@ def q_c1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quintiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rank by score (first occurrence wins ties) and pandas-qcut into
+    """Rank by falling score (first occurrence wins ties; quintile 0 holds
+    the best) and pandas-qcut into
     five groups per month."""
     p = standardized(spark, sf_dir).filter(F.col("score").isNotNull())
-    w = Window.partitionBy("month_end").orderBy("score", "ticker")
+    w = Window.partitionBy("month_end").orderBy(F.desc("score"), "ticker")
     p = p.withColumn("rank", F.row_number().over(w)).withColumn(
         "n", F.count(F.lit(1)).over(Window.partitionBy("month_end")))
     return p.withColumn("quintile", qcut_of_rank("rank", "n", QUINTILES))
@@ -231,7 +232,7 @@ SQL_C1 = sql_round_select(SQL_STD, ["ticker", "month_end"], ["next_ret", *LAGGED
 
 SQL_Q = f"""
 WITH s AS (SELECT * FROM ({SQL_STD}) x WHERE score IS NOT NULL),
-r AS (SELECT *, row_number() OVER (PARTITION BY month_end ORDER BY score, ticker) AS rank,
+r AS (SELECT *, row_number() OVER (PARTITION BY month_end ORDER BY score DESC, ticker) AS rank,
              count(*) OVER (PARTITION BY month_end) AS n FROM s)
 SELECT *, CAST(CASE WHEN n = 1 OR rank = 1 THEN 0
                     ELSE floor(((rank - 1) * {QUINTILES} + (n - 2)) / (n - 1)) - 1 END AS INTEGER) AS quintile FROM r"""

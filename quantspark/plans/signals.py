@@ -96,7 +96,7 @@ e AS (SELECT s.*, CASE WHEN pred > 0 THEN 1 ELSE -1 END AS signal, p.date AS ent
 x AS (SELECT e.*, p.date AS x_date, p.close AS x_close
       FROM e ASOF LEFT JOIN px p ON e.ticker = p.ticker AND CAST(e.transaction_date + e.horizon AS DATE) <= p.date)
 SELECT signal_id, ticker, transaction_date, horizon, pred, signal, entry_date,
-  CASE WHEN entry_date IS NOT NULL THEN x_date END AS exit_date, entry_open AS entry_price,
+  CASE WHEN entry_date IS NOT NULL THEN x_date END AS exit_date, CASE WHEN x_date IS NOT NULL THEN entry_open END AS entry_price,
   CASE WHEN entry_date IS NOT NULL THEN x_close END AS exit_price,
   (CASE WHEN entry_date IS NOT NULL THEN x_close END - entry_open) / entry_open AS long_return,
   (entry_open - CASE WHEN entry_date IS NOT NULL THEN x_close END) / entry_open AS short_return

@@ -48,11 +48,14 @@ def build_session(master: str | None = None, app: str = "quantspark",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's shared ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) a scratch folder is
-    created so that ``checkpoint()`` works at all.
+    Only when a local session names none (tests) a scratch folder is created
+    so that ``checkpoint()`` works at all; on a cluster that is an error, as
+    executors don't share the driver's folders.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         current = tempfile.mkdtemp(prefix="qs-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
