@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quantspark.llm.common import arrow_batches, open_fs, read, shared_path, stage
+from quantspark.llm.common import open_fs, read, scoped, shared_path, stage
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 BLOCK_WORDS = 1 << 20
@@ -50,6 +50,8 @@ CACHE_WORDS, CACHE_BYTES, SAMPLE_DOCS = 3 << 18, 64, 1 << 18
 BUCKETS = 1 << 14
 LONG = 48
 OPEN, CLOSE = "Ā", "ā"
+# The literal would be printed in full with every plan that the driver keeps.
+SHORT_PLANS = {"maxPlanStringLength": "20000"}
 # Unicode White_Space: what \s means in the tokenizer's pattern.
 SPACES = r"\t-\r\x20\x85\xA0  -     　"
 
@@ -262,8 +264,8 @@ class WordCache:
 
     loaded: dict[str, WordCache] = {}
 
-    def __init__(self, words: pa.Array, sizes: np.ndarray, ids: np.ndarray):
-        self.words, self.sizes, self.ids = words, sizes, ids
+    def __init__(self, words: pa.Array, starts: np.ndarray, sizes: np.ndarray, ids: np.ndarray):
+        self.words, self.starts, self.sizes, self.ids = words, starts, sizes, ids
 
     @staticmethod
     def build(docs: DataFrame, literal: Column, cache_words: int, sample_docs: int) -> str:
@@ -284,8 +286,11 @@ class WordCache:
         top = words.filter(F.lit(False) if least is None else F.col("class") >= least)
         groups = top.groupBy(F.pmod(F.xxhash64("word"), F.lit(1024)).alias("g")).agg(
             F.collect_list("word").alias("words"), F.collect_list("class").alias("classes"))
+        groups = stage(groups.withColumn("w", F.transform("words", _bytes_as_text)), "word-groups")
         folder = shared_path(docs.sparkSession, "word-cache")
-        _encoded(groups.withColumn("w", F.transform("words", _bytes_as_text)), literal).select("words", "classes", "ids").write.parquet(folder)
+        # the literal stands in plans without shuffles only, which aren't planned again as they run
+        with scoped(docs.sparkSession, **SHORT_PLANS):
+            _encoded(groups, literal).select("words", "classes", "ids").write.parquet(folder)
         return folder
 
     @classmethod
@@ -295,16 +300,22 @@ class WordCache:
             from pyarrow import fs
             files, root = open_fs(folder)
             names = sorted(f.path for f in files.get_file_info(fs.FileSelector(root)) if f.base_name.endswith(".parquet"))
-            tables = [pq.read_table(n, filesystem=files) for n in names]
-            words, rank, ids = (pa.concat_arrays([c.flatten() for t in tables for c in t.column(name).chunks] or [pa.array([], kind)])
-                                for name, kind in (("words", pa.string()), ("classes", pa.int32()), ("ids", pa.list_(pa.int32()))))
-            sizes = pc.list_value_length(ids).to_numpy(zero_copy_only=False).astype(np.int64)
+            words, rank, sizes, ids = [], [], [], []
+            for name in names:
+                table = pq.read_table(name, filesystem=files)
+                for chunk in table.to_batches():
+                    words.append(chunk.column("words").flatten())
+                    rank.append(chunk.column("classes").flatten().to_numpy(zero_copy_only=False))
+                    lists = chunk.column("ids").flatten()
+                    sizes.append(pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int32))
+                    ids.append(lists.flatten().to_numpy(zero_copy_only=False).astype(np.int32))
+            none = np.zeros(0, np.int32)
+            sizes = np.concatenate([none, *sizes]).astype(np.int64)
             # frequent words first: codes of documents then compress well
-            order = np.argsort(-rank.to_numpy(zero_copy_only=False), kind="stable")
-            flat = _take(ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32), _ragged(sizes)[0][order], sizes[order])
+            order = np.argsort(-np.concatenate([none, *rank]), kind="stable")
             cls.loaded.clear()  # one at a time
-            cls.loaded[folder] = cls(words.take(pa.array(order)), sizes[order].astype(np.int32), flat)
-            del tables, words, rank, ids
+            cls.loaded[folder] = cls(pa.concat_arrays(words or [pa.array([], pa.string())]).take(pa.array(order)),
+                                     _ragged(sizes)[0][order], sizes[order], np.concatenate([none, *ids]))
             pa.default_memory_pool().release_unused()
         return cls.loaded[folder]
 
@@ -350,6 +361,7 @@ def _blocks(docs: DataFrame, cache: str, cutter: Cutter) -> DataFrame:
                     pa.array([distinct.indices.to_numpy(zero_copy_only=False).astype(np.int32).tobytes()], pa.binary()),
                     pa.array([[p.decode("latin-1") for p in distinct.dictionary.to_pylist()]], pa.list_(pa.string()))], names=schema.names)
                 i = j
+            pa.default_memory_pool().release_unused()
 
     return docs.select("doc_id", _matches(spark).alias("m")).mapInArrow(run, schema)
 
@@ -359,8 +371,7 @@ def _assemble(blocks: DataFrame, cache: str, finish, schema: T.StructType) -> Da
     ids are ids[offsets[i]:offsets[i + 1]]."""
     def run(batches):
         known = WordCache.load(cache)
-        sizes, ids = known.sizes, known.ids
-        starts = _ragged(sizes.astype(np.int64))[0]
+        starts, sizes, ids = known.starts, known.sizes, known.ids
         for batch in batches:
             for b in range(batch.num_rows):
                 words = batch.column(1).slice(b, 1).flatten().to_numpy(zero_copy_only=False).astype(np.int64)
@@ -380,7 +391,7 @@ def _assemble(blocks: DataFrame, cache: str, finish, schema: T.StructType) -> Da
                 begin, ends = _ragged(words)
                 i = 0
                 while i < len(words):  # a bounded number of words at a time
-                    j = max(i + 1, int(np.searchsorted(ends, begin[i] + (1 << 20), "right")))
+                    j = max(i + 1, int(np.searchsorted(ends, begin[i] + (1 << 18), "right")))
                     mine = at[begin[i]:ends[j - 1]]
                     lengths = all_sizes[mine]
                     flat = _take(all_ids, all_starts[mine], lengths)
@@ -399,7 +410,8 @@ def encode(docs: DataFrame, path: str | None = None, finish=None, schema: T.Stru
     literal = rank_literal(ranks)
     cache = WordCache.build(docs, literal, cache_words, sample_docs)
     # staged, so that a task has one Python worker at a time
-    with arrow_batches(docs.sparkSession, 2000, "16m"):
+    # small Arrow batches, as a task holds two at a time on either side
+    with scoped(docs.sparkSession, execution__arrow__maxRecordsPerBatch="1500", execution__arrow__maxBytesPerBatch="8m", **SHORT_PLANS):
         blocks = stage(_encoded(_blocks(docs, cache, Cutter(ranks)), literal).drop("w"), "blocks")
     if finish is None:
         schema = T.StructType([docs.schema["doc_id"], T.StructField("ids", T.ArrayType(T.IntegerType()))])

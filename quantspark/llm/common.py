@@ -44,10 +44,10 @@ def open_fs(uri: str):
 
 
 @contextmanager
-def arrow_batches(spark: SparkSession, rows: int, size: str):
-    """Smaller Arrow batches for an action within: a task holds two at a time on
-    either side."""
-    keys = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows), "spark.sql.execution.arrow.maxBytesPerBatch": size}
+def scoped(spark: SparkSession, **settings: str):
+    """Session settings (names after ``spark.sql.``, two underscores for a dot) for the
+    actions within; the old values come back afterwards."""
+    keys = {f"spark.sql.{k.replace('__', '.')}": v for k, v in settings.items()}
     old = {k: spark.conf.get(k) for k in keys}
     try:
         for k, v in keys.items():
