@@ -8,9 +8,12 @@ weight S, r and c ~ Gamma(2, 1) and b ~ Uniform(0, 1) are drawn from (j, k) alon
 
 and the sample is the (k, t) of least a. Two texts agree in a sample with a
 probability equal to their generalised Jaccard similarity, sum of min over sum
-of max of the weights. The draws are looked up in one table of 65,536 triples,
-at 16 bits of the term's hash times the sample's odd number; equal draws are told
-apart by the term's other bits. A fingerprint is ``SAMPLES`` samples of 16 bits.
+of max of the weights. The draws come from the 64-bit hash of (j, k), however
+many terms a text has. At weight 1, t = 0 and a is Exp(1), so the hash itself is
+read as 1 - exp(-a) and its order is that of the draws. Given that a, c - a and
+r - ln(c / a) are Exp(1) and b = 1 - ln(c / a) / r, which is how a heavier term
+gets the r, c and b that belong to its draw at weight 1. A fingerprint is
+``SAMPLES`` samples of 16 bits.
 
 The edited text of a document needs its neighbour by id. Rows are dealt into
 ranges of ids that begin at ids picked by hash (a bounded list), and the first
@@ -40,39 +43,36 @@ from quantspark.llm.wordhash import mix, shingles, word_hashes
 SAMPLES, WORDS = 64, 5
 WINDOW_BYTES = 1 << 18
 RANGES, RANGE_ROWS = 1 << 14, 64
-_tables: dict = {}
+_NAME = np.uint64(0xFFFF)
+_SALTS = mix(np.arange(1, 4097, dtype=np.uint64))
 
 
-def _draws() -> dict:
-    if not _tables:
-        rng = np.random.default_rng(20_240_607)
-        r, c, b = rng.gamma(2.0, 1.0, 1 << 16), rng.gamma(2.0, 1.0, 1 << 16), rng.random(1 << 16)
-        once = (c * np.exp(-r * (1 - b))).astype(np.float32)  # weight 1: t = 0
-        _tables.update(r=r, c=c, b=b, once=once.view(np.uint32).astype(np.uint64) << np.uint64(32),
-                       odd=mix(np.arange(1, 4097, dtype=np.uint64)) | np.uint64(1))
-    return _tables
+def _draws(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The draw at weight 1, r, and the exponential part of r, of hashes of (sample, term)."""
+    def exponential(x):
+        return -np.log1p(-((x >> np.uint64(12)).astype(np.float64) + 0.5) * 2.0 ** -52)
+
+    once, more = exponential(h), exponential(mix(h ^ np.uint64(0x9E3779B97F4A7C15)))
+    rest = exponential(mix(h ^ np.uint64(0xD1B54A32D192ED03)))
+    return once, np.log1p(more / once) + rest, rest
 
 
 def _sample(terms: np.ndarray, weights: np.ndarray, starts: np.ndarray, samples: int) -> np.ndarray:
     """(len(starts), samples) of the terms between one start and the next."""
-    d = _draws()
-    low, top = np.uint64(0xFFFFFFFF), np.uint64(48)
     heavy = np.flatnonzero(weights > 1)
-    log_w, heavy_terms = np.log(weights[heavy]), terms[heavy]
+    log_w = np.log(weights[heavy])
     out = np.empty((len(starts), samples), np.uint16)
     for j in range(samples):
-        h = terms * d["odd"][j]
-        key = d["once"][h >> top] | (h & low)
+        key = mix(terms ^ _SALTS[j])
         if len(heavy):
-            hh = heavy_terms * d["odd"][j]
-            i = hh >> top
-            r, b = d["r"][i], d["b"][i]
-            t = np.floor(log_w / r + b)
-            a = (d["c"][i] * np.exp(-r * (t - b + 1))).astype(np.float32)
-            name = (hh ^ (t.astype(np.int64).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))) & low
-            key[heavy] = (a.view(np.uint32).astype(np.uint64) << np.uint64(32)) | name
-        least = np.minimum.reduceat(key, starts) & low
-        out[:, j] = (least ^ (least >> np.uint64(16))) & np.uint64(0xFFFF)
+            h = key[heavy]
+            once, r, rest = _draws(h)
+            t = np.floor((log_w + rest) / r)
+            least = (-np.expm1(-once * np.exp(-r * t)) * 2.0 ** 64).astype(np.uint64)
+            name = h ^ (t.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            # at t = 0 a term is drawn as at weight 1
+            key[heavy] = np.where(t > 0, (least & ~_NAME) | (name & _NAME), h)
+        out[:, j] = np.minimum.reduceat(key, starts) & _NAME
     return out
 
 

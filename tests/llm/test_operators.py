@@ -91,6 +91,15 @@ def test_weighted_likeness_of_repeated_terms():
     assert abs(np.mean(np.subtract(want, have))) < 0.01
 
 
+@pytest.mark.parametrize("single, repeated, times", [(100_000, 50_000, (3, 3)), (100_000, 60_000, (2, 4)), (250_000, 15_000, (20, 20))])
+def test_likeness_of_long_texts(single, repeated, times):
+    shared = " ".join(f"s{i}" for i in range(repeated))
+    a, b = (" ".join([*(f"{k}{i}" for i in range(single)), *[shared] * n]) for k, n in zip("ab", times))
+    data = np.frombuffer((a + b).encode(), np.uint8)
+    s = fingerprints.signatures(data, np.array([0, len(a), len(a) + len(b)]), 512)
+    assert abs((s[0] == s[1]).mean() - _likeness(a, b)) < 0.08  # four standard errors
+
+
 def test_fingerprint_cases(odd, empty):
     rows = fingerprints.with_neighbours(odd).collect()
     assert len(rows) == len(ODD) and fingerprints.with_neighbours(empty).count() == 0
