@@ -6,10 +6,12 @@ that hold the same gram; the template table is a fixed list, so its broadcast is
 bounded by the code. Hits are counted per (document, template, diagonal), the
 diagonal being document position minus template position. Diagonals at most
 ``SLACK`` apart are merged (words put in or left out shift later hits to a
-neighbouring diagonal). A merged run is verified: the share of the template's
-words that its hits cover must reach ``COVER`` and its span in the document may not
-be longer than ``STRETCH`` times the template. Of verified runs that overlap in
-a document the one with the best cover stays (then more hits, then the label).
+neighbouring diagonal). A merged run is verified: every key phrase of the template
+(the words that tell it from its relatives) must stand in one diagonal's hits
+word by word; the template's words that the hits cover, over its size and the words
+put in between them, must reach ``COVER``; and the span may not be longer than
+``STRETCH`` times the template. Verified spans are taken by most words covered
+(then best cover, then name), and one that overlaps a span taken before is dropped.
 
 Places of the base phrases are counted from the same word list.
 
@@ -21,6 +23,8 @@ columns are ignored.
 
 from __future__ import annotations
 
+from itertools import product
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,28 +34,115 @@ GRAM, SLACK, COVER, STRETCH = 3, 3, 0.7, 1.6
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # Base phrases and the notices of public licenses.
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
+_WARRANTY = ("the software is provided as is without warranty of any kind express or implied including but not limited to the warranties "
+             "of merchantability fitness for a particular purpose and noninfringement in no event shall the authors or copyright holders "
+             "be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of "
+             "or in connection with the software or the use or other dealings in the software")
+_BSD = ("redistribution and use in source and binary forms with or without modification are permitted provided that the following "
+        "conditions are met {0} redistributions of source code must retain the above copyright notice this list of conditions and the "
+        "following disclaimer {1} redistributions in binary form must reproduce the above copyright notice this list of conditions and "
+        "the following disclaimer in the documentation and or other materials provided with the distribution")
+_BSD_3 = "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"
+_BSD_END = ("this software is provided by the copyright holders and contributors as is and any express or implied warranties including but "
+            "not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall "
+            "the copyright holder or contributors be liable for any direct indirect incidental special exemplary or consequential damages "
+            "including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption "
+            "however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise "
+            "arising in any way out of the use of this software even if advised of the possibility of such damage")
+_ISC = "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"
+_MIT = "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"
+_APACHE = "you may not use this file except in compliance with the license you may obtain a copy of the license at"
+_MPL = "this source code form is subject to the terms of the mozilla public license v 2 0"
+_UNLICENSE = "this is free and unencumbered software released into the public domain"
+# A label's notices: what follows a slash only tells them apart.
 TEMPLATES = {
     "agpl-3.0": "licensed under the gnu affero general public license version 3",
     "apache-2.0": "licensed under the apache license version 2 0",
-    "apache-2.0-header": "you may not use this file except in compliance with the license you may obtain a copy of the license at",
+    "apache-2.0/name": "apache license version 2 0",
+    "apache-2.0/notice": f"licensed under the apache license version 2 0 the license {_APACHE} http www apache org licenses license 2 0 unless "
+                         "required by applicable law or agreed to in writing software distributed under the license is distributed on an as is "
+                         "basis without warranties or conditions of any kind either express or implied see the license for the specific "
+                         "language governing permissions and limitations under the license",
+    "apache-2.0-header": _APACHE,
     "bsd": "redistribution and use in source and binary forms with or without modification are permitted provided that "
            "the following conditions are met",
+    "bsd-2-clause": f"{_BSD.format(1, 2)} {_BSD_END}",
+    "bsd-3-clause": f"{_BSD.format(1, 2)} 3 {_BSD_3} {_BSD_END}",
     "cc-by-4.0": "this work is licensed under a creative commons attribution 4 0 international license",
     "cc-by-nc-4.0": "licensed under cc by nc 4 0",
     "cc-by-sa-4.0": "licensed under cc by sa 4 0",
     "gpl-3.0": "this work is licensed under the gnu general public license version 3",
     "gpl-notice": "this program is free software you can redistribute it and or modify it under the terms of the gnu "
                   "general public license as published by the free software foundation",
-    "isc": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted",
+    "isc": _ISC,
+    "isc/notice": f"{_ISC} provided that the above copyright notice and this permission notice appear in all copies the software is provided "
+                  "as is and the author disclaims all warranties with regard to this software including all implied warranties of "
+                  "merchantability and fitness in no event shall the author be liable for any special direct indirect or consequential "
+                  "damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence "
+                  "or other tortious action arising out of or in connection with the use or performance of this software",
     "lgpl": "licensed under the gnu lesser general public license",
     "mit-notice": "released under the mit license",
-    "mit-text": "permission is hereby granted free of charge to any person obtaining a copy of this software and "
-                "associated documentation files",
-    "mpl-2.0": "this source code form is subject to the terms of the mozilla public license v 2 0",
-    "unlicense": "this is free and unencumbered software released into the public domain",
+    "mit-text": _MIT,
+    "mit-text/notice": f"{_MIT} the software to deal in the software without restriction including without limitation the rights to use copy "
+                       "modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the "
+                       "software is furnished to do so subject to the following conditions the above copyright notice and this permission "
+                       f"notice shall be included in all copies or substantial portions of the software {_WARRANTY}",
+    "mpl-2.0": _MPL,
+    "mpl-2.0/notice": f"{_MPL} if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0",
+    "unlicense": _UNLICENSE,
+    "unlicense/notice": f"{_UNLICENSE} anyone is free to copy modify publish use compile sell or distribute this software either in source code "
+                        "form or as a compiled binary for any purpose commercial or non commercial and by any means in jurisdictions that "
+                        "recognize copyright laws the author or authors of this software dedicate any and all copyright interest in the "
+                        "software to the public domain we make this dedication for the benefit of the public at large and to the detriment "
+                        "of our heirs and successors we intend this dedication to be an overt act of relinquishment in perpetuity of all "
+                        f"present and future rights to this software under copyright law {_WARRANTY.replace('authors or copyright holders', 'authors')}",
+}
+# What tells a notice from its relatives: each phrase must stand in the text word by word.
+KEYS = {
+    "agpl-3.0": ("gnu affero general public license version 3",), "apache-2.0": ("apache license version 2 0",),
+    "apache-2.0/name": ("apache license version 2 0",),
+    "apache-2.0/notice": ("apache license version 2 0",), "bsd-3-clause": ("neither the name of",),
+    "cc-by-4.0": ("creative commons attribution 4 0",), "cc-by-nc-4.0": ("cc by nc 4 0",), "cc-by-sa-4.0": ("cc by sa 4 0",),
+    "gpl-3.0": ("gnu general public license version 3",), "gpl-notice": ("the gnu general public license",),
+    "lgpl": ("gnu lesser general public license",), "mit-notice": ("the mit license",),
+    "mpl-2.0": ("mozilla public license v 2 0",), "mpl-2.0/notice": ("mozilla public license v 2 0",),
 }
 
 
+def _family(label: str, notices: dict) -> None:
+    for i, (text, keys) in enumerate(notices.items()):
+        TEMPLATES[f"{label}/{i}"], KEYS[f"{label}/{i}"] = text, keys or (text,)
+
+
+def _gnu(label: str, kind: str, version: str) -> None:
+    license, short = f"gnu {kind} public license", label.split("-")[0]
+    sentence = (f"this program is free software you can redistribute it and or modify it under the terms of the {license} as published by "
+                f"the free software foundation either version {version} of the license or at your option any later version")
+    keys = (f"the {license}", f"version {version} of the license")
+    names = [f"{license} version {version}", f"{license} v{version}", f"{license} v {version}", f"gnu {short} version {version}"]
+    bare = [*names, f"version {version} of the {license}", f"{short} {version if ' ' in version else version + ' 0'} or later",
+            f"{short} {version if ' ' in version else version + ' 0'} only"]
+    _family(label, {n: () for n in bare} | {f"licensed under the {n}": (n,) for n in names} | {
+        sentence: keys,
+        f"{sentence} this program is distributed in the hope that it will be useful but without any warranty without even the implied "
+        f"warranty of merchantability or fitness for a particular purpose see the {license} for more details you should have received a copy "
+        f"of the {license} along with this program if not see http www gnu org licenses": keys})
+
+
+def _creative_commons(version: str) -> None:
+    spelled = {"nc": ("noncommercial", "non commercial"), "sa": ("sharealike", "share alike"), "nd": ("noderivatives", "noderivs", "no derivatives")}
+    for parts in ((), ("nc",), ("sa",), ("nd",), ("nc", "sa"), ("nc", "nd")):
+        names = [" ".join(["creative commons attribution", *x, version]) for x in product(*[spelled[p] for p in parts])]
+        _family("-".join(["cc-by", *parts, version.replace(" ", ".")]), {n: () for n in [" ".join(["cc by", *parts, version]), *names]})
+
+
+for _row in (("agpl-3.0", "affero general", "3"), ("gpl-1.0", "general", "1"), ("gpl-2.0", "general", "2"), ("gpl-3.0", "general", "3"),
+             ("lgpl-2.0", "library general", "2"), ("lgpl-2.1", "lesser general", "2 1"), ("lgpl-3.0", "lesser general", "3")):
+    _gnu(*_row)
+for _version in ("1 0", "2 0", "2 5", "3 0", "4 0"):
+    _creative_commons(_version)
+
+
 def words_of(text: Column) -> Column:
     # lower() also maps U+212A and U+0130 to letters a-z; they stay apart here
     plain = F.replace(F.replace(F.coalesce(text, F.lit("")), F.lit("K"), F.lit("�")), F.lit("İ"), F.lit("�"))
@@ -107,30 +198,58 @@ def hits(docs: DataFrame) -> DataFrame:
     return stage(out.select("row", "doc_id", "n_words", "places", "template", "tpos", "pos"), "license-hits")
 
 
+def _template_facts(spark: SparkSession) -> DataFrame:
+    """(template, size, keys): words of every template, and the positions of the grams of each of its key phrases."""
+    rows = []
+    for name, text in TEMPLATES.items():
+        words = text.split()
+        keys = []
+        for key in (k.split() for k in KEYS.get(name, ())):
+            at = next(i for i in range(len(words)) if words[i:i + len(key)] == key)
+            keys.append(list(range(at, at + len(key) - GRAM + 1)))
+        rows.append((name, len(words), keys))
+    return spark.createDataFrame(rows, "template string, size int, keys array<array<int>>")
+
+
 def spans(found: DataFrame) -> DataFrame:
-    """Verified (row, template, first, last, cover), from staged hits."""
-    sizes = F.create_map(*[F.lit(x) for k, v in TEMPLATES.items() for x in (k, len(v.split()))])
+    """Verified (row, template, first, end, votes, cover), from staged hits."""
+    facts = F.broadcast(_template_facts(found.sparkSession))
+    held = F.filter(F.sequence(F.lit(0), F.size("keys")), lambda k: F.size(F.array_except(F.get("keys", k), "tpos")) == 0)
     votes = (found.filter("template IS NOT NULL").withColumn("diagonal", F.col("pos") - F.col("tpos"))
              .groupBy("row", "template", "diagonal")
              .agg(F.count(F.lit(1)).alias("votes"), F.min("pos").alias("first"), F.max("pos").alias("last"),
-                  F.collect_set("tpos").alias("tpos")))  # at most as many as the template has grams
+                  F.collect_set("tpos").alias("tpos"))  # at most as many as the template has grams
+             .join(facts, "template").withColumn("held", held))
     order = Window.partitionBy("row", "template").orderBy("diagonal")
     apart = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(order) > SLACK, F.lit(True)).cast("int")
+
+    def all_of(places: Column) -> Column:
+        return F.array_distinct(F.flatten(F.collect_list(places)))
+
+    def words(grams: Column | str) -> Column:
+        return F.size(F.array_distinct(F.flatten(F.transform(grams, lambda p: F.sequence(p, p + (GRAM - 1))))))
+
     merged = (votes.withColumn("new", apart).withColumn("run", F.sum("new").over(order))
-              .groupBy("row", "template", "run")
+              .groupBy("row", "template", "run", "size", F.size("keys").alias("n_keys"))
               .agg(F.sum("votes").alias("votes"), F.min("first").alias("first"), (F.max("last") + GRAM).alias("end"),
-                   F.array_distinct(F.flatten(F.collect_list("tpos"))).alias("tpos")))
-    covered = F.size(F.array_distinct(F.flatten(F.transform("tpos", lambda p: F.sequence(p, p + (GRAM - 1))))))
-    size = sizes[F.col("template")]
-    good = (merged.withColumn("cover", covered / size)
-            .filter((F.col("cover") >= COVER) & (F.col("end") - F.col("first") <= F.ceil(size * STRETCH)))
-            .select("row", "template", "first", "end", "votes", "cover"))
+                   all_of("tpos").alias("tpos"), all_of("held").alias("held"),
+                   all_of(F.transform("tpos", lambda p: p + F.col("diagonal"))).alias("pos")))
+    covered, length = words("tpos"), F.col("end") - F.col("first")
+    # what stands between the hits was put in
+    good = (merged.withColumn("covered", covered).withColumn("cover", F.col("covered") / (F.col("size") + length - words("pos")))
+            .filter((F.size("held") == F.col("n_keys")) & (F.col("cover") >= COVER) & (length <= F.ceil(F.col("size") * STRETCH))))
     order = Window.partitionBy("row").orderBy("first", "end", "template")
     reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    best = Window.partitionBy("row", "island").orderBy(F.desc("cover"), F.desc("votes"), "template")
+    span = F.struct((-F.col("covered")).alias("rank"), (-F.col("cover")).alias("minus"), "template", "first", "end", "votes", "cover")
+    none = F.array().cast("array<struct<rank:int,minus:double,template:string,first:int,end:int,votes:bigint,cover:double>>")
+    # best first, a span stays unless it overlaps one that has stayed
+    kept = F.aggregate("all", none, lambda have, x: F.when(
+        F.exists(have, lambda y: (y["first"] < x["end"]) & (x["first"] < y["end"])), have).otherwise(F.concat(have, F.array(x))))
     return (good.withColumn("new", F.coalesce(F.col("first") >= reach, F.lit(True)).cast("int"))
-            .withColumn("island", F.sum("new").over(order)).withColumn("place", F.row_number().over(best))
-            .filter("place = 1").drop("new", "island", "place"))
+            .withColumn("island", F.sum("new").over(order))
+            .groupBy("row", "island").agg(F.array_sort(F.collect_list(span)).alias("all"))
+            .select("row", F.inline(kept)).drop("rank", "minus")
+            .withColumn("template", F.substring_index("template", "/", 1)))
 
 
 def scan(docs: DataFrame) -> DataFrame:

@@ -136,6 +136,41 @@ def test_license_diagonals(spark):
     assert [p.start for p in got[5].places] == [2, 4]
 
 
+@pytest.mark.parametrize("text, want", [
+    ("Licensed under the GNU General Public License version 3", "gpl-3.0"),
+    ("licensed under the GNU General Public License version 2.0", "gpl-2.0"),
+    ("licensed under the terms of the GNU Affero General Public License, version 3", "agpl-3.0"),
+    ("Licensed under the GNU Lesser General Public License version 2.1", "lgpl-2.1"),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License", "cc-by-nc-nd-4.0"),
+    ("licensed under CC BY-NC 3.0", "cc-by-nc-3.0"), ("licensed under CC BY-SA 4.0", "cc-by-sa-4.0"),
+    ("Code: Apache License, Version 2.0. Text: CC BY 3.0. Released under the MIT License.", "apache-2.0,cc-by-3.0,mit-notice")])
+def test_license_relatives(spark, text, want):
+    assert sorted(licenses.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().templates) == want.split(",")
+
+
+def _whole_notices(words):
+    """Labels of whole templates, longest first, without overlaps."""
+    at = [(-len(t), name, k, k + len(t)) for name, t in ((n, x.split()) for n, x in licenses.TEMPLATES.items())
+          for k in range(len(words)) if words[k:k + len(t)] == t]
+    kept = []
+    for m in sorted(at):
+        if all(m[3] <= o[2] or o[3] <= m[2] for o in kept):
+            kept.append(m)
+    return {m[1].split("/")[0] for m in kept}
+
+
+def test_license_labels_by_brute_force(spark):
+    rng = random.Random(3)
+    names = sorted(licenses.TEMPLATES)
+    every = [licenses.TEMPLATES[n].split() for n in names]
+    filler = [[f"f{rng.randrange(99)}" for _ in range(rng.randrange(1, 9))] for _ in range(200)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(every)]
+    rows += [(len(rows) + i, " ".join(w for _ in range(6) for part in (rng.choice(every), rng.choice(filler)) for w in part)) for i in range(120)]
+    got = {r.doc_id: set(r.templates) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: _whole_notices(t.split()) for i, t in rows}
+    assert [got[i] for i in range(len(names))] == [{n.split("/")[0]} for n in names]
+
+
 def test_license_cases(odd, empty):
     rows = licenses.scan(odd).collect()
     assert len(rows) == len(ODD) and licenses.scan(empty).count() == 0
