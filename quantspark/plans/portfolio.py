@@ -25,6 +25,7 @@ STAR_BANDS = ((3, "★★★★★"), (2, "★★★★☆"), (1, "★★★☆
 STAR_FLOOR = "★☆☆☆☆"
 SES_ALPHAS = (0.2, 0.5)
 ALPHA_GRID = tuple(round(0.05 * i, 2) for i in range(1, 20))
+DAMPING = 0.99
 
 
 def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,9 +114,11 @@ def q_b23(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def smoothing_forecasts(values: DataFrame, key: str, order: str, value: str, horizon: int = 5) -> DataFrame:
     """B24 + B25: simple exponential smoothing at fixed alphas and at the
-    SSE-best alpha of a grid, and Holt's linear trend, as folds
-    (``aggregate``) over each series' ordered array. Series are bounded by
-    the calendar (one value per period)."""
+    SSE-best alpha of a grid, Holt's linear trend at fixed weights, and Holt's
+    linear, exponential and damped (``DAMPING``) trends at the SSE-best weights
+    of a grid, as folds (``aggregate``) over each series' ordered array. Series
+    are bounded by the calendar (one value per period); a series of one value,
+    or of zeros under the exponential trend, has no trend forecast."""
     arr = F.transform(F.sort_array(F.collect_list(F.struct(order, value))), lambda s: s[value])
     g = values.groupBy(key).agg(arr.alias("xs"))
 
@@ -135,6 +138,34 @@ def smoothing_forecasts(values: DataFrame, key: str, order: str, value: str, hor
             return F.struct(lvl.alias("l"), (beta * (lvl - st["l"]) + (1 - beta) * st["b"]).alias("b"))
         return F.aggregate(F.slice("xs", 3, 1 << 30), init, step)
 
+    def holt_fitted(kind: str) -> Column:
+        grow = kind == "exponential"
+        damp = DAMPING if kind == "damped" else 1.0
+        x1, x2 = F.get("xs", F.lit(0)), F.get("xs", F.lit(1))
+
+        def ahead(st) -> Column:
+            return st["l"] * st["b"] if grow else st["l"] + damp * st["b"]
+
+        def step(p):
+            def fold(st, x):
+                lvl = p["alpha"] * x + (1 - p["alpha"]) * ahead(st)
+                change = F.try_divide(lvl, st["l"]) if grow else lvl - st["l"]
+                old = st["b"] if grow else damp * st["b"]
+                return F.struct(lvl.alias("l"), (p["beta"] * change + (1 - p["beta"]) * old).alias("b"),
+                                (st["sse"] + (x - ahead(st)) * (x - ahead(st))).alias("sse"))
+            return fold
+
+        def path(p) -> Column:
+            init = F.struct(x2.alias("l"), (F.try_divide(x2, x1) if grow else x2 - x1).alias("b"), F.lit(0.0).alias("sse"))
+            st = F.aggregate(F.slice("xs", 3, 1 << 30), init, step(p))
+            reach = sum(damp ** k for k in range(1, horizon + 1))
+            end = st["l"] * F.pow(st["b"], F.lit(horizon)) if grow else st["l"] + reach * st["b"]
+            return F.struct(st["sse"].alias("sse"), p["alpha"], p["beta"], end.alias("forecast"))
+
+        weights = F.array(*[F.struct(F.lit(a).alias("alpha"), F.lit(b).alias("beta")) for a in ALPHA_GRID for b in ALPHA_GRID])
+        fits = F.filter(F.transform(weights, path), lambda f: f["sse"].isNotNull() & f["forecast"].isNotNull())
+        return F.array_min(fits)["forecast"]
+
     cols = [F.size("xs").alias("n")]
     for a in SES_ALPHAS:
         cols.append(ses(a)["l"].alias(f"ses_{int(a * 100)}_forecast"))
@@ -144,6 +175,7 @@ def smoothing_forecasts(values: DataFrame, key: str, order: str, value: str, hor
     cols += [best["alpha"].alias("ses_best_alpha"), best["l"].alias("ses_best_forecast")]
     h = holt(0.8, 0.2)
     cols += [(h["l"] + horizon * h["b"]).alias(f"holt_forecast_{horizon}")]
+    cols += [holt_fitted(k).alias(f"holt_{k}_forecast_{horizon}") for k in ("linear", "exponential", "damped")]
     return g.select(key, *cols)
 
 
