@@ -27,7 +27,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def _state(edges: DataFrame) -> tuple:
-    mark = F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 40)))
+    mark = F.bit_xor(F.xxhash64("u", "v"))  # edges are distinct; a sum would leave the range of a long
     return tuple(edges.agg(F.count(F.lit(1)), F.coalesce(mark, F.lit(0))).first())
 
 

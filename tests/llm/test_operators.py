@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quantspark.llm import (bpe, fingerprints, licenses, mixing, registry, secrets, sharding, simhash, tokenfiles, topk,
+from quantspark.llm import (bpe, components, fingerprints, licenses, mixing, registry, secrets, sharding, simhash, tokenfiles, topk,
                             toxicity)
 from quantspark.llm.components import connected_components
 from quantspark.plans.oracle import compare
@@ -431,6 +431,11 @@ def test_components(spark):
     assert connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_convergence_mark_of_many_edges(spark):
+    edges = spark.range(1 << 25).select(F.col("id").alias("u"), (F.col("id") + 1).alias("v"))
+    assert components._state(edges)[0] == 1 << 25
+
+
 def test_simhash_cases(odd, empty):
     rows = simhash.near_duplicates(odd).collect()
     assert len(rows) == len(ODD) and {r.component_id for r in rows if r.fp == 0} == {1}
