@@ -41,6 +41,13 @@ class Rule:
     group: int = 0  # the group that ``least`` measures
     least: int = 1
     revision: int = 1
+    runs: str | None = None  # class whose runs ``pattern`` matches whole
+
+    @property
+    def scanned(self) -> str:
+        """Where a class is too common to be split at every match, the same spans
+        come from its long runs: a run shorter than ``least`` is dropped either way."""
+        return f"{self.runs}{{{self.least},}}" if self.runs else self.pattern
 
     @property
     def version(self) -> str:
@@ -52,17 +59,16 @@ class Rule:
 RULES = (
     Rule("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
     Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
-    Rule("hex", r"[0-9a-f]+", 0, 24),
-    Rule("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\s]*(-----END [A-Z ]{0,40}PRIVATE KEY-----)?"),
+    Rule("hex", r"[0-9a-f]+", 0, 24, runs="[0-9a-f]"),
+    # to the END line; without one, header lines and base64
+    Rule("pem", r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?)-----"
+                r"(?:[^-]*+(?:-(?!----)[^-]*+)*+-----END \1-----|(?:\s++[A-Za-z][A-Za-z0-9-]*+:[^\r\n]*+){0,16}+[A-Za-z0-9+/=\s]*)", revision=2),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("bearer", r"Bearer [A-Za-z0-9._~+/-]{20,}=*"),
 )
 BASE = ("assign", "access", "hex")
-# Where [0-9a-f]+ is too common to be split at every match, the same spans come
-# from its long runs: a run shorter than ``least`` is dropped either way.
-SCANNED = {"hex": r"[0-9a-f]{24,}"}
 
 
 def blob_of(text: str | Column) -> Column:
@@ -71,7 +77,7 @@ def blob_of(text: str | Column) -> Column:
 
 def _hits(rule: Rule) -> Column:
     """Per match: its number, the lengths of the piece before it, of itself and of its measured part."""
-    pattern = F.lit(SCANNED.get(rule.kind, rule.pattern))
+    pattern = F.lit(rule.scanned)
     whole = F.regexp_extract_all("text", pattern, F.lit(0))
     part = F.regexp_extract_all("text", pattern, F.lit(rule.group)) if rule.group else whole
     before = F.split("text", pattern, -1)
@@ -86,7 +92,7 @@ def _scan_blobs(texts: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Ledger rows from (blob, text, seen): rules whose version is not in ``seen``."""
     none = F.array().cast("array<struct<version:string,i:int,gap:int,len:int,ok:boolean>>")
     todo = {r: ~F.array_contains("seen", r.version) for r in rules}
-    hits = [F.when(todo[r] & F.col("text").rlike(SCANNED.get(r.kind, r.pattern)), _hits(r)).otherwise(none) for r in rules]
+    hits = [F.when(todo[r] & F.col("text").rlike(r.scanned), _hits(r)).otherwise(none) for r in rules]
     done = F.array_compact(F.array(*[F.when(todo[r], F.lit(r.version)) for r in rules]))
     raw = stage(texts.select("blob", done.alias("versions"), F.concat(*hits).alias("hits")).filter(F.size("versions") > 0), "hits")
     so_far = Window.partitionBy("blob", "version").orderBy("i")

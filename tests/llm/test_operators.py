@@ -481,6 +481,27 @@ def test_ledger_scans_unseen_pairs_only(spark, tmp_path):
     assert again.count() == 2 and again.filter(F.size("versions") > 1).count() == 0
 
 
+def test_whole_keys_are_masked(spark):
+    body = "\n".join(["MIIEpAIBAAKCAQEA0+/x" * 3] * 4)
+
+    def key(kind, head=""):
+        return f"-----BEGIN {kind}-----\n{head}{body}\n-----END {kind}-----"
+
+    heads = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123\n\n"
+    cases = [key("RSA PRIVATE KEY", heads), key("PRIVATE KEY"), key("PGP PRIVATE KEY BLOCK", "Version: GnuPG v1\n\n"),
+             "-----BEGIN RSA PRIVATE KEY-----\n" + heads + body,  # cut off
+             key("EC PRIVATE KEY", "a-b: c\n" * 20_000)]
+    rows = spark.createDataFrame([(i, f"see {t}! end") for i, t in enumerate(cases)], "doc_id long, text string")
+    assert {r.doc_id: r.text for r in secrets.redact(rows).collect()} == {i: "see [SECRET]! end" for i in range(len(cases))}
+
+
+def test_least_of_a_callers_rule(spark):
+    rows = spark.createDataFrame([("p", "x 0123456789abcdef01 y 0123")], "path string, text string")
+    for runs in (None, "[0-9a-f]"):
+        rule = secrets.Rule("hex", "[0-9a-f]+", 0, 16, revision=2, runs=runs)
+        assert [(s.start, s.end) for s in secrets.scan(rows, path="path", rules=(rule,)).first().spans] == [(2, 20)]
+
+
 def test_secret_cases(odd, empty):
     rows = secrets.scan(odd).collect()
     assert len(rows) == len(ODD) and secrets.scan(empty).count() == 0
