@@ -359,6 +359,20 @@ def test_counterfactual_penalty(spark):
     assert gap[1] < 0.3 * gap[0]
 
 
+def test_rows_that_the_model_sees(spark, monkeypatch):
+    seen = []
+
+    def stop(sample):
+        seen.append(sample.count())
+        raise StopIteration
+
+    monkeypatch.setattr(toxicity, "_features", stop)
+    rows = spark.range(60_000).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"), (F.col("id") % 2).alias("toxic"))
+    with pytest.raises(StopIteration):
+        toxicity.train(rows.select("doc_id", "text"), rows.select("doc_id", "toxic"))
+    assert seen == [rows.filter(~toxicity.held_out()).count()]
+
+
 def test_toxicity_cases(spark, odd, empty):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     some = spark.createDataFrame([(4, 1, None), (5, 1, 7), (None, 1, 1)], "doc_id long, quality int, toxic int")
