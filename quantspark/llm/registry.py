@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from quantspark.llm import bpe, fingerprints, licenses, mixing, secrets, sharding, simhash, tokenfiles, topk, toxicity
+from quantspark.llm import (bpe, codes, fingerprints, licenses, mixing, secrets, sharding, simhash, tokenfiles, topk, toxicity, urls,
+                            whitening)
 
 QUERIES = {
     "op1_fingerprints": fingerprints.op1_fingerprints,
@@ -15,9 +16,14 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_simhash": simhash.op9_simhash,
     "op10_secrets": secrets.op10_secrets,
+    "op11_vector_codes": codes.op11_vector_codes,
+    "op12_url_filters": urls.op12_url_filters,
+    "op13_whitening": whitening.op13_whitening,
 }
 
 ORACLE: dict[str, str] = {
     "op6_sharding": sharding.oracle(),
     "op7_topk": topk.ORACLE,
+    "op11_vector_codes": codes.ORACLE,
+    "op12_url_filters": urls.ORACLE,
 }
