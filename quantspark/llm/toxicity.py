@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -111,11 +112,13 @@ def _coded(features: DataFrame, table: np.ndarray) -> DataFrame:
     """(toxic, words: int32 positions in ``table`` of those it holds), in the order of ``place``."""
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
-                at = _known(table, np.array(row["words"], np.int64).view(np.uint64))[1]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([row["place"]]), pa.array([row["toxic"]], pa.int32()), pa.array([at.astype(np.int32).tobytes()], pa.binary())],
-                    names=["place", "toxic", "words"])
+            h = batch.column(2).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            on, at = _known(table, h)
+            ends = np.cumsum(pc.list_value_length(batch.column(2)).to_numpy(zero_copy_only=False))
+            cuts = np.r_[0, np.searchsorted(on, ends)]
+            raw = at.astype(np.int32).tobytes()
+            words = pa.array([raw[4 * i:4 * j] for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist())], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], words], names=["place", "toxic", "words"])
 
     # one fixed order, so that reruns add up the same sums
     return features.mapInArrow(run, "place long, toxic int, words binary").orderBy("place").select("toxic", "words")
@@ -125,11 +128,60 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def _binary(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of a binary column without nulls, and its row offsets from 0."""
-    offs = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64)
-    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offs[0]:offs[-1]]
-    return data, offs - offs[0]
+class _Rows:
+    """Word positions of the sampled texts, row after row, as they came from Spark;
+    sums go through them in runs of rows, so that no second copy is needed."""
+
+    RUN = 1 << 18
+
+    def __init__(self, pieces: list[tuple[np.ndarray, np.ndarray]]):
+        """(positions, row offsets) per run."""
+        self.runs, at = [], 0
+        for col, cuts in pieces:
+            for i, j in byte_windows(cuts, self.RUN, rows=1 << 30):
+                self.runs.append((at + i, at + j, col[cuts[i]:cuts[j]], np.diff(cuts[i:j + 1])))
+            at += len(cuts) - 1
+        self.n = at
+
+    @classmethod
+    def of(cls, table: pa.Table) -> _Rows:
+        pieces = []
+        for column in table.column("words").chunks:
+            offs = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64)
+            data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offs[0]:offs[-1]]
+            pieces.append((data.view(np.int32), (offs - offs[0]) // 4))
+        return cls(pieces)
+
+    def keep(self, slot: np.ndarray) -> _Rows:
+        """The words whose ``slot`` is not negative, under that number."""
+        pieces = []
+        for i, j, col, sizes in self.runs:
+            new = slot[col]
+            on = new >= 0
+            cuts = np.r_[0, np.cumsum(np.bincount(np.repeat(np.arange(j - i), sizes)[on], minlength=j - i))]
+            pieces.append((new[on].astype(np.int32), cuts))
+        return _Rows(pieces)
+
+    def by_row(self, values: np.ndarray) -> np.ndarray:
+        out = np.empty(self.n)
+        for i, j, col, sizes in self.runs:
+            out[i:j] = np.bincount(np.repeat(np.arange(j - i), sizes), weights=values[col], minlength=j - i)
+        return out
+
+    def by_word(self, values: np.ndarray, words: int) -> np.ndarray:
+        out = np.zeros(words)
+        for i, j, col, sizes in self.runs:
+            out += np.bincount(col, weights=np.repeat(values[i:j], sizes), minlength=words)
+        return out
+
+    def places(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, word) of every word that ``wanted`` marks."""
+        rows, words = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+        for i, j, col, sizes in self.runs:
+            on = wanted[col]
+            rows.append(np.repeat(np.arange(i, j), sizes)[on])
+            words.append(col[on])
+        return np.concatenate(rows), np.concatenate(words)
 
 
 def train(docs: DataFrame, labels: DataFrame, groups=IDENTITY_TERMS, sample_rows: int = 50_000, min_rows: int = 5,
@@ -143,46 +195,33 @@ def train(docs: DataFrame, labels: DataFrame, groups=IDENTITY_TERMS, sample_rows
     often = np.unique(often.astype(np.int64).view(np.uint64))
     a, b = _swaps(groups)
     vocab = np.unique(np.concatenate([often, a, b]))
-    got = _coded(features, vocab).toArrow().combine_chunks()
+    got = _coded(features, vocab).toArrow()
     y = got.column("toxic").to_numpy().astype(np.float64)
     if not len(y):
         return Model(np.zeros(0, np.uint64), np.zeros(0), -np.inf)
-    # the rows' words lie one after another in the column's buffer
-    data, cuts = _binary(got.column("words").chunk(0))
-    del got
-    col, sizes, n, m = data.view(np.int32), np.diff(cuts) // 4, len(y), len(vocab)
-    rows = np.repeat(np.arange(n, dtype=np.int32), sizes)
+    words, n, m = _Rows.of(got), len(y), len(vocab)
 
     # swapped pairs: for each text with identity terms, the words that go and come.
     # A word that does both (another term of its list is there too) cancels out.
     goes, comes = np.searchsorted(vocab, a), np.searchsorted(vocab, b)
     new_of = np.full(m, -1)
     new_of[goes] = comes
-    gone = np.flatnonzero(new_of[col] >= 0)
-    pair_rows, gone_pair = np.unique(rows[gone], return_inverse=True)
+    gone_rows, gone = words.places(new_of >= 0)
+    pair_rows, gone_pair = np.unique(gone_rows, return_inverse=True)
     pairs = len(pair_rows)
-    come = np.unique(np.stack([gone_pair, new_of[col[gone]]], axis=1), axis=0) if pairs else np.zeros((0, 2), np.int64)
-    d_row, d_col = np.r_[gone_pair, come[:, 0]].astype(np.int64), np.r_[col[gone], come[:, 1]].astype(np.int64)
+    come = np.unique(np.stack([gone_pair, new_of[gone]], axis=1), axis=0) if pairs else np.zeros((0, 2), np.int64)
+    d_row, d_col = np.r_[gone_pair, come[:, 0]].astype(np.int64), np.r_[gone, come[:, 1]].astype(np.int64)
     d_val = np.r_[np.ones(len(gone)), -np.ones(len(come))]
 
-    def fit(keep, penalty):
-        """Words of ``keep`` only: weights and intercept."""
-        slot = np.cumsum(keep) - 1
-        on, d_on = keep[col], keep[d_col]
-        c, r, dc, dr, dv = slot[col[on]].astype(np.int32), rows[on], slot[d_col[d_on]], d_row[d_on], d_val[d_on]
-        m = int(keep.sum())
-
-        def by_row(values):
-            return sum(np.bincount(r[p], weights=values[c[p]], minlength=n) for p in parts)
-
-        def by_word(values):
-            return sum(np.bincount(c[p], weights=values[r[p]], minlength=m) for p in parts)
-
-        # in parts, so that temporaries stay small
-        parts = [slice(i, i + (1 << 18)) for i in range(0, max(len(c), 1), 1 << 18)]
+    def fit(words, slot, free, penalty):
+        """Weights and intercept of the words with a number in ``slot``; those that
+        are not ``free`` stay without a weight."""
+        d_on = slot[d_col] >= 0
+        dc, dr, dv = slot[d_col[d_on]], d_row[d_on], d_val[d_on]
+        m = len(free)
         # per-word step sizes: a bound of the curvature by row lengths
-        width = np.bincount(r, minlength=n) + 1.0
-        curve = by_word(width / (4 * n)) + 1e-6
+        width = words.by_row(np.ones(m)) + 1.0
+        curve = words.by_word(width / (4 * n), m) + 1e-6
         if pairs:
             d_width = np.bincount(dr, minlength=pairs)
             curve += counterfactual * np.bincount(dc, weights=2.0 * d_width[dr] / pairs, minlength=m)
@@ -191,12 +230,12 @@ def train(docs: DataFrame, labels: DataFrame, groups=IDENTITY_TERMS, sample_rows
         w, bias = np.zeros(m), float(np.log(mean / (1 - mean)))
         vw, vb, t = w, bias, 1.0
         for _ in range(steps):
-            g = (_sigmoid(by_row(vw) + vb) - y) / n
-            grad = by_word(g)
+            g = (_sigmoid(words.by_row(vw) + vb) - y) / n
+            grad = words.by_word(g, m)
             if pairs:
                 change = np.bincount(dr, weights=dv * vw[dc], minlength=pairs)
                 grad += counterfactual * 2 / pairs * np.bincount(dc, weights=dv * change[dr], minlength=m)
-            new_w, new_b = np.maximum(vw - (grad + penalty) / curve, 0), vb - g.sum() / bias_curve
+            new_w, new_b = np.where(free, np.maximum(vw - (grad + penalty) / curve, 0), 0), vb - g.sum() / bias_curve
             t_next = (1 + np.sqrt(1 + 4 * t * t)) / 2
             vw, vb = new_w + (t - 1) / t_next * (new_w - w), new_b + (t - 1) / t_next * (new_b - bias)
             w, bias, t = new_w, new_b, t_next
@@ -205,9 +244,11 @@ def train(docs: DataFrame, labels: DataFrame, groups=IDENTITY_TERMS, sample_rows
     # noise in a mean over n rows shrinks with the root of n
     l1 = max(5e-4, 0.05 / np.sqrt(n)) if l1 is None else l1
     # a strong penalty picks the words, a weak one sets their weights
-    keep = np.isin(vocab, often)
-    keep[keep] = fit(keep, l1)[0] != 0
-    w, bias = fit(keep, l1 / 50)
+    keep = fit(words, np.arange(m), np.isin(vocab, often), l1)[0] != 0
+    slot = np.where(keep, np.cumsum(keep) - 1, -1)
+    words = words.keep(slot)  # few are left
+    del got
+    w, bias = fit(words, slot, np.ones(int(keep.sum()), bool), l1 / 50)
     vocab = vocab[keep]
     used = w != 0
     return Model(vocab[used], w[used], float(bias))
