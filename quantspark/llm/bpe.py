@@ -1,9 +1,9 @@
 """Byte-level BPE encoding and decoding against a file of ranked byte pieces.
 
-1. Texts are cut by the tokenizer's pattern (``regexp_extract_all``).
+1. Texts are cut by the tokenizer's pattern (``regexp_extract_all``), once.
 2. Within each task, documents are gathered into blocks; a block holds its
-   distinct words once and each document as positions in them. No document is
-   shuffled.
+   distinct words once and each document as positions in them. Blocks are staged;
+   no document is shuffled.
 3. Each distinct word, as an array of bytes, is folded with higher-order
    functions: the adjacent pair of lowest rank is merged until no pair has a
    rank. The rank map is a literal: an array of small maps, reached by a
@@ -11,9 +11,9 @@
 4. Documents are put together from their words' ids; decoding joins the binary
    pieces of the ids.
 
-Words that are frequent in a bounded sample of documents are folded once for all
-blocks: at most ``cache_words`` of them, of ``CACHE_BYTES`` bytes or fewer, are
-kept in a table that all tasks read. This saves work and changes no result.
+Words that stand in many blocks are folded once for all of them: at most
+``cache_words``, of ``CACHE_BYTES`` bytes or fewer, are kept in a table that all
+tasks read. This saves work and changes no result.
 
 Bytes are written as the code points 0 to 255 while they are folded, so that
 pieces are strings. In words of more than ``LONG`` parts all places of the
@@ -46,7 +46,7 @@ from quantspark.llm.common import open_fs, read, scoped, shared_path, stage
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 BLOCK_WORDS = 1 << 20
-CACHE_WORDS, CACHE_BYTES, SAMPLE_DOCS = 3 << 18, 64, 1 << 18
+CACHE_WORDS, CACHE_BYTES = 3 << 18, 64
 BUCKETS = 1 << 14
 LONG = 48
 OPEN, CLOSE = "Ā", "ā"
@@ -145,6 +145,9 @@ def encode_words(words: Column, literal: Column) -> Column:
         # pair i is parts i and i + 1; the last, with nothing after it, has no rank
         return F.transform(parts, lambda x, i: _rank_of(table, F.concat(x, F.get(parts, i + 1))))
 
+    def state_of(parts, ranks):
+        return _let(ranks, lambda r: F.struct(parts.alias("parts"), r.alias("ranks"), F.array_min(r).alias("least")))
+
     def merge_one(table, parts, ranks, at):
         """The pair at ``at`` (from 1) as one part; only its neighbours' ranks change."""
         def with_piece(piece):
@@ -152,8 +155,7 @@ def encode_words(words: Column, literal: Column) -> Column:
             right = _rank_of(table, F.concat(piece, F.get(parts, at + 1)))
             new_parts = F.transform(parts, lambda x, i: F.when(i == at - 1, piece).otherwise(x))
             new_ranks = F.transform(ranks, lambda x, i: F.when(i == at - 2, left).when(i == at, right).otherwise(x))
-            return F.struct(F.filter(new_parts, lambda x, i: i != at).alias("parts"),
-                            F.filter(new_ranks, lambda x, i: i != at - 1).alias("ranks"))
+            return state_of(F.filter(new_parts, lambda x, i: i != at), F.filter(new_ranks, lambda x, i: i != at - 1))
 
         return _let(F.concat(F.get(parts, at - 1), F.get(parts, at)), with_piece)
 
@@ -165,7 +167,7 @@ def encode_words(words: Column, literal: Column) -> Column:
         done = F.replace(marked, F.concat(F.lit(OPEN), a, F.lit(CLOSE + OPEN), b, F.lit(CLOSE)),
                          F.concat(F.lit(OPEN), a, b, F.lit(CLOSE)))
         merged = F.split(F.rtrim(F.replace(done, F.lit(OPEN), F.lit("")), F.lit(CLOSE)), CLOSE)
-        return _let(merged, lambda m: F.struct(m.alias("parts"), ranks_of(table, m).alias("ranks")))
+        return _let(merged, lambda m: state_of(m, ranks_of(table, m)))
 
     def encode(table, word):
         def step(state, _):
@@ -174,13 +176,20 @@ def encode_words(words: Column, literal: Column) -> Column:
             def merge(at):
                 return F.when(F.size(parts) <= LONG, merge_one(table, parts, ranks, at)).otherwise(merge_all(table, parts, at))
 
-            least = F.array_min(ranks)
-            return F.when(least.isNull(), state).otherwise(_let(F.array_position(ranks, least).cast("int"), merge))
+            # after the last merge a step costs nothing
+            return F.when(state["least"].isNull(), state).otherwise(_let(F.array_position(ranks, state["least"]).cast("int"), merge))
+
+        def ids(state):
+            return F.transform(state["parts"], lambda x: _rank_of(table, x))
 
         def folded(chars):
-            steps = F.sequence(F.lit(1), F.greatest(F.size(chars) - 1, F.lit(1)))
-            start = F.struct(chars.alias("parts"), ranks_of(table, chars).alias("ranks"))
-            return F.aggregate(steps, start, step, lambda s: F.transform(s["parts"], lambda x: _rank_of(table, x)))
+            start = state_of(chars, ranks_of(table, chars))
+            most = F.greatest(F.size(chars) - 1, F.lit(1))
+            # a long word's steps, each of which copies its state, go in runs that are left out after the last merge
+            run = F.sequence(F.lit(1), F.ceil(F.sqrt(most)).cast("int"))
+            in_runs = F.aggregate(run, start, lambda state, _: F.aggregate(
+                F.when(state["least"].isNull(), F.array().cast("array<int>")).otherwise(run), state, step), ids)
+            return F.when(most < LONG, F.aggregate(F.sequence(F.lit(1), most), start, step, ids)).otherwise(in_runs)
 
         return _let(_rank_of(table, word), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(_let(F.split(word, ""), folded)))
 
@@ -190,26 +199,25 @@ def encode_words(words: Column, literal: Column) -> Column:
 class Cutter:
     """Cuts words where no merge can cross: at a place that no piece of the
     vocabulary, matched at any place of the word, reaches over. Pieces are found
-    by a hash in a bit table, so a chance hit can only leave a cut out."""
+    by a 64-bit hash, first in a bit table, then among those of their length."""
 
     BASE, BITS = np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - 23)
 
     def __init__(self, ranks: dict[bytes, int]):
         self.longest = max(map(len, ranks))
-        self.pairs = np.zeros(1 << 16, bool)
         self.table = np.zeros(1 << 23, bool)
+        self.hashes: dict[int, np.ndarray] = {}
         by_size: dict[int, list[bytes]] = {}
         for piece in ranks:
             if len(piece) > 1:
                 by_size.setdefault(len(piece), []).append(piece)
         for size, pieces in by_size.items():
             b = np.frombuffer(b"".join(pieces), np.uint8).reshape(-1, size)
-            for i in range(size - 1):
-                self.pairs[b[:, i].astype(np.int64) * 256 + b[:, i + 1]] = True
             h = np.zeros(len(b), np.uint64)
             for i in range(size):
                 h = h * self.BASE + b[:, i] + np.uint64(1)
             self.table[self._slot(h)] = True
+            self.hashes[size] = np.sort(h)
 
     def _slot(self, h):
         return ((h ^ (h >> np.uint64(29))) * self.BASE) >> self.BITS
@@ -217,12 +225,16 @@ class Cutter:
     def _crossed(self, b: np.ndarray) -> np.ndarray:
         """Of words as rows of ``size`` bytes: whether a piece reaches over the place before byte 1, 2, .."""
         n, size = b.shape
-        if size > LONG:  # by pairs alone: a piece over a place holds the two bytes beside it
-            return self.pairs[b[:, :-1].astype(np.int64) * 256 + b[:, 1:]]
         h, delta = b.astype(np.uint64) + np.uint64(1), np.zeros((n, size + 1), np.int32)
         for more in range(1, min(size, self.longest)):
             h = h[:, :-1] * self.BASE + b[:, more:] + np.uint64(1)
+            own = self.hashes.get(more + 1)
+            if own is None:
+                continue
             hit = self.table[self._slot(h)]
+            at = np.nonzero(hit)
+            found = h[at]
+            hit[at] = own[np.minimum(np.searchsorted(own, found), len(own) - 1)] == found
             delta[:, 1:size - more + 1] += hit
             delta[:, more + 1:] -= hit
         return np.cumsum(delta, axis=1)[:, 1:size] > 0
@@ -268,12 +280,9 @@ class WordCache:
         self.words, self.starts, self.sizes, self.ids = words, starts, sizes, ids
 
     @staticmethod
-    def build(docs: DataFrame, literal: Column, cache_words: int, sample_docs: int) -> str:
+    def build(blocks: DataFrame, literal: Column, cache_words: int) -> str:
         """Folder of the cache's table."""
-        # about ``sample_docs`` rows, by a hash of the id
-        share = min(1.0, sample_docs / max(docs.count(), 1))
-        picked = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-        words = (picked.select(F.explode(_matches(docs.sparkSession)).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+        words = (blocks.select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
                  .filter((F.col("n") > 1) & (F.octet_length("word") <= CACHE_BYTES)))
         # at most a few hundred classes of counts; the most frequent ones that fit are taken whole
         words = stage(words.select("word", F.floor(F.log2("n") * 8).cast("int").alias("class")), "words")
@@ -287,9 +296,9 @@ class WordCache:
         groups = top.groupBy(F.pmod(F.xxhash64("word"), F.lit(1024)).alias("g")).agg(
             F.collect_list("word").alias("words"), F.collect_list("class").alias("classes"))
         groups = stage(groups.withColumn("w", F.transform("words", _bytes_as_text)), "word-groups")
-        folder = shared_path(docs.sparkSession, "word-cache")
+        folder = shared_path(blocks.sparkSession, "word-cache")
         # the literal stands in plans without shuffles only, which aren't planned again as they run
-        with scoped(docs.sparkSession, **SHORT_PLANS):
+        with scoped(blocks.sparkSession, **SHORT_PLANS):
             _encoded(groups, literal).select("words", "classes", "ids").write.parquet(folder)
         return folder
 
@@ -325,20 +334,14 @@ def _encoded(blocks: DataFrame, literal: Column) -> DataFrame:
     return blocks.withColumn("ids", encode_words(F.col("w"), literal))
 
 
-def _blocks(docs: DataFrame, cache: str, cutter: Cutter) -> DataFrame:
-    """One row per block: the documents' ids and word counts; a code per word (an
-    index into the cache, or -1 - an index into the block's own words); the
-    number of parts of each own word and each part's index; and the distinct
-    parts ``w`` as text of bytes."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(cutter)  # of a fixed size
+def _blocks(docs: DataFrame) -> DataFrame:
+    """One row per block: the documents' ids and word counts, each word as an index
+    into the block's distinct words, and those words."""
     schema = T.StructType([
         T.StructField("doc_ids", T.ArrayType(docs.schema["doc_id"].dataType)), T.StructField("sizes", T.ArrayType(T.IntegerType())),
-        T.StructField("codes", T.BinaryType()), T.StructField("counts", T.BinaryType()), T.StructField("parts", T.BinaryType()),
-        T.StructField("w", T.ArrayType(T.StringType()))])
+        T.StructField("codes", T.BinaryType()), T.StructField("words", T.ArrayType(T.StringType()))])
 
     def run(batches):
-        known, cutter = WordCache.load(cache).words, shared.value
         for batch in batches:
             lists, ids = batch.column(1), batch.column(0)
             sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -347,23 +350,50 @@ def _blocks(docs: DataFrame, cache: str, cutter: Cutter) -> DataFrame:
             while i < len(sizes):
                 j = max(i + 1, int(np.searchsorted(ends, begin[i] + BLOCK_WORDS, "right")))
                 coded = pc.dictionary_encode(lists.slice(i, j - i).flatten())
-                words = coded.dictionary
-                code = pc.fill_null(pc.index_in(words, value_set=known), -1).to_numpy(zero_copy_only=False).astype(np.int32)
-                own = np.flatnonzero(code < 0)
-                code[own] = -1 - np.arange(len(own), dtype=np.int32)
-                parts, counts = cutter.cut([w.encode() for w in words.take(pa.array(own)).to_pylist()])
-                distinct = pc.dictionary_encode(pa.array(parts, pa.binary()))
-                codes = code[coded.indices.to_numpy(zero_copy_only=False)]
+                # frequent words first: the codes then compress well
+                codes = coded.indices.to_numpy(zero_copy_only=False)
+                order = np.argsort(-np.bincount(codes, minlength=len(coded.dictionary)), kind="stable")
+                place = np.empty(len(order), np.int32)
+                place[order] = np.arange(len(order), dtype=np.int32)
                 yield pa.RecordBatch.from_arrays([
                     pa.array([ids.slice(i, j - i).to_pylist()], pa.list_(ids.type)),
                     pa.array([sizes[i:j].astype(np.int32)], pa.list_(pa.int32())),
-                    pa.array([pa.compress(codes.tobytes(), codec="zstd", asbytes=True)], pa.binary()), pa.array([counts.astype(np.int32).tobytes()], pa.binary()),
+                    pa.array([pa.compress(place[codes].tobytes(), codec="zstd", asbytes=True)], pa.binary()),
+                    pa.ListArray.from_arrays(pa.array([0, len(order)], pa.int32()), coded.dictionary.take(pa.array(order)))], names=schema.names)
+                i = j
+            pa.default_memory_pool().release_unused()
+
+    return docs.select("doc_id", _matches(docs.sparkSession).alias("m")).mapInArrow(run, schema)
+
+
+def _own_words(blocks: DataFrame, cache: str, cutter: Cutter) -> DataFrame:
+    """The blocks with, for each of their words, an index into the cache, or -1 - an
+    index into their own words; the number of parts of each own word, each part's
+    index, and the distinct parts ``w`` as text of bytes."""
+    shared = blocks.sparkSession.sparkContext.broadcast(cutter)  # of a fixed size
+    schema = T.StructType([*blocks.schema.fields[:3], T.StructField("places", T.BinaryType()), T.StructField("counts", T.BinaryType()),
+                           T.StructField("parts", T.BinaryType()), T.StructField("w", T.ArrayType(T.StringType()))])
+
+    def run(batches):
+        known, cutter = WordCache.load(cache).words, shared.value
+        for batch in batches:
+            # one look-up for all blocks of the batch
+            found = pc.fill_null(pc.index_in(batch.column(3).flatten(), value_set=known), -1).to_numpy(zero_copy_only=False).astype(np.int32)
+            ends = np.cumsum(pc.list_value_length(batch.column(3)).to_numpy(zero_copy_only=False))
+            for r, end in enumerate(ends.tolist()):
+                words = batch.column(3).slice(r, 1).flatten()
+                place = found[end - len(words):end].copy()
+                own = np.flatnonzero(place < 0)
+                place[own] = -1 - np.arange(len(own), dtype=np.int32)
+                parts, counts = cutter.cut([w.encode() for w in words.take(pa.array(own)).to_pylist()])
+                distinct = pc.dictionary_encode(pa.array(parts, pa.binary()))
+                yield pa.RecordBatch.from_arrays([
+                    *(c.slice(r, 1) for c in batch.columns[:3]), pa.array([place.tobytes()], pa.binary()), pa.array([counts.astype(np.int32).tobytes()], pa.binary()),
                     pa.array([distinct.indices.to_numpy(zero_copy_only=False).astype(np.int32).tobytes()], pa.binary()),
                     pa.array([[p.decode("latin-1") for p in distinct.dictionary.to_pylist()]], pa.list_(pa.string()))], names=schema.names)
-                i = j
             pa.default_memory_pool().release_unused()
 
-    return docs.select("doc_id", _matches(spark).alias("m")).mapInArrow(run, schema)
+    return blocks.mapInArrow(run, schema)
 
 
 def _assemble(blocks: DataFrame, cache: str, finish, schema: T.StructType) -> DataFrame:
@@ -376,8 +406,8 @@ def _assemble(blocks: DataFrame, cache: str, finish, schema: T.StructType) -> Da
             for b in range(batch.num_rows):
                 words = batch.column(1).slice(b, 1).flatten().to_numpy(zero_copy_only=False).astype(np.int64)
                 raw = pa.decompress(batch.column(2)[b].as_py(), int(words.sum()) * 4, codec="zstd", asbytes=True)
-                codes, counts, parts = (np.frombuffer(x, np.int32) for x in (raw, batch.column(3)[b].as_py(), batch.column(4)[b].as_py()))
-                own = batch.column(5).slice(b, 1).flatten()
+                codes, places, counts, parts = (np.frombuffer(x, np.int32) for x in (raw, *(batch.column(c)[b].as_py() for c in (3, 4, 5))))
+                own = batch.column(6).slice(b, 1).flatten()
                 part_sizes = pc.list_value_length(own).to_numpy(zero_copy_only=False).astype(np.int64)
                 mine = part_sizes[parts]
                 own_sizes = np.add.reduceat(mine, _ragged(counts.astype(np.int64))[0]) if len(counts) else counts
@@ -386,7 +416,7 @@ def _assemble(blocks: DataFrame, cache: str, finish, schema: T.StructType) -> Da
                 all_ids = np.concatenate([ids, own_ids])
                 all_sizes = np.concatenate([sizes, own_sizes]).astype(np.int64)
                 all_starts = np.concatenate([starts, len(ids) + _ragged(own_sizes)[0]])
-                at = np.where(codes >= 0, codes, len(sizes) - 1 - codes)
+                at = np.where(places >= 0, places, len(sizes) - 1 - places)[codes]
                 doc_ids = batch.column(0).slice(b, 1).flatten()
                 begin, ends = _ragged(words)
                 i = 0
@@ -403,16 +433,17 @@ def _assemble(blocks: DataFrame, cache: str, finish, schema: T.StructType) -> Da
 
 
 def encode(docs: DataFrame, path: str | None = None, finish=None, schema: T.StructType | None = None,
-           cache_words: int = CACHE_WORDS, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+           cache_words: int = CACHE_WORDS) -> DataFrame:
     """(doc_id, ids: array<int>), or what ``finish`` makes of them."""
     docs = docs.select("doc_id", "text")
     ranks = load_ranks(path or vocabulary_path())
     literal = rank_literal(ranks)
-    cache = WordCache.build(docs, literal, cache_words, sample_docs)
     # staged, so that a task has one Python worker at a time
     # small Arrow batches, as a task holds two at a time on either side
     with scoped(docs.sparkSession, execution__arrow__maxRecordsPerBatch="1500", execution__arrow__maxBytesPerBatch="8m", **SHORT_PLANS):
-        blocks = stage(_encoded(_blocks(docs, cache, Cutter(ranks)), literal).drop("w"), "blocks")
+        blocks = stage(_blocks(docs), "blocks")
+        cache = WordCache.build(blocks, literal, cache_words)
+        blocks = stage(_encoded(_own_words(blocks, cache, Cutter(ranks)), literal).drop("w"), "encoded-blocks")
     if finish is None:
         schema = T.StructType([docs.schema["doc_id"], T.StructField("ids", T.ArrayType(T.IntegerType()))])
 

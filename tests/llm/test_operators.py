@@ -231,7 +231,7 @@ def test_bpe(spark, docs, texts, encoding):
     extra = {10_000: "a" * 3000 + " " * 500 + "x", 10_001: "".join(map(chr, rng.choices(points, k=20_000))),
              10_002: " \x85\xa0 \n\t x  y　　z", 10_003: "don't we'll 'S \r\n end  ", 10_004: "zq" * 2000, 10_005: "<|endoftext|>"}
     more = spark.createDataFrame(list(extra.items()), "doc_id long, text string")
-    for options in ({}, {"cache_words": 0, "sample_docs": 0}):
+    for options in ({}, {"cache_words": 0}):
         for r in bpe.digests(docs.filter("doc_id < 200").select("doc_id", "text").unionByName(more), **options).collect():
             t = extra.get(r.doc_id) or texts.get(r.doc_id, "")
             ids = encoding.encode_ordinary(t)
@@ -239,6 +239,29 @@ def test_bpe(spark, docs, texts, encoding):
             assert r.decoded_sha256 == hashlib.sha256(t.encode()).hexdigest()
 
 
+def test_very_long_words(spark, encoding):
+    import time
+    rng = random.Random(8)
+    long = {1: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=100_000)), 2: "".join(rng.choices("的一是不了人我在有他这中大来上国", k=50_000)),
+            3: "ab" * 30_000, 4: "".join(rng.choices("aeinrst", k=2000))}
+    docs = spark.createDataFrame(list(long.items()), "doc_id long, text string").repartition(4)
+    began = time.time()
+    rows = bpe.digests(docs).collect()
+    assert time.time() - began < 120
+    for r in rows:
+        ids = encoding.encode_ordinary(long[r.doc_id])
+        assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), r.doc_id
+
+
+def test_cuts_cross_no_piece():
+    ranks = {bytes([i]): i for i in range(256)} | {p: 256 + i for i, p in enumerate([b"ab", b"abc", b"cd", b"xyzw"])}
+    cutter = bpe.Cutter(ranks)
+    words = [b"abcd", b"abxcd", b"q", b"xyzab", b"xyzwab", b"c" * 60 + b"dd", b"ab" * 40]
+    parts, counts = cutter.cut(words)
+    assert b"".join(parts) == b"".join(words) and counts.sum() == len(parts)
+    assert parts[:8] == [b"abcd", b"ab", b"x", b"cd", b"q", b"x", b"y", b"z"] and counts[5] == 61 and counts[6] == 40
+
+
 def test_bpe_round_trip_and_cases(odd, empty):
     back = bpe.decode(bpe.encode(odd)).collect()
     assert Counter((r.doc_id, bytes(r.data)) for r in back) == Counter((r[0], (r[1] or "").encode()) for r in ODD)
@@ -359,6 +382,70 @@ def test_counterfactual_penalty(spark):
     assert gap[1] < 0.3 * gap[0]
 
 
+def _plain_fit(texts, toxic, groups, l1, counterfactual, steps=150_000, min_rows=5):
+    """Unaccelerated proximal gradient on dense matrices, in the same two passes."""
+    sets = [set(t.split()) for t in texts]
+    swap = {a: g[(i + 1) % len(g)] for g in groups for i, a in enumerate(g)}
+    n = Counter(w for s in sets for w in s)
+    names = sorted(w for w in n if n[w] >= min_rows)
+
+    def fit(names, penalty):
+        x = np.array([[w in s for w in names] for s in sets], float)
+        other = [{swap.get(w, w) for w in s} for s in sets if s & set(swap)]
+        named = [s for s in sets if s & set(swap)]
+        # only identity terms change: one is gone unless another was swapped for it
+        d = np.array([[((w in a) and w in swap) - (w in {swap[v] for v in a if v in swap}) for w in names] for a in named], float)
+        assert len(other) == len(d)
+        y, w, b = np.array(toxic, float), np.zeros(len(names)), 0.0
+        both = np.c_[x, np.ones(len(x))]
+        rate = 1 / (np.linalg.norm(both, 2) ** 2 / 4 / len(x) + 2 * counterfactual * np.linalg.norm(d, 2) ** 2 / len(d))
+        for _ in range(steps):
+            g = (1 / (1 + np.exp(-(x @ w + b))) - y) / len(x)
+            w = np.maximum(w - rate * (x.T @ g + 2 * counterfactual * d.T @ (d @ w) / len(d) + penalty), 0)
+            b -= rate * g.sum()
+        return w, b
+
+    w, _ = fit(names, l1)
+    kept = [v for v, x in zip(names, w) if x > 0]
+    w, b = fit(kept, l1 / 50)
+    return dict(zip(kept, w)), b
+
+
+def test_fit_equals_plain_proximal_gradient(spark):
+    rng = random.Random(4)
+    words, groups = [f"w{i}" for i in range(25)], (("muslim", "christian", "hindu"), ("women", "men"))
+    rows, labels = [], []
+    for i in range(600):
+        toxic = rng.random() < 0.3
+        text = rng.sample(words, 8) + (rng.sample(["insult", "slur", "fool"], 2) if toxic and rng.random() < 0.8 else ["kind"] if rng.random() < 0.5 else [])
+        text += ["muslim"] if rng.random() < (0.5 if toxic else 0.1) else ["men", "women"] if rng.random() < 0.2 else []
+        rows.append((i, " ".join(text))), labels.append((i, int(toxic)))
+    docs, marks = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    used = {r.doc_id for r in docs.filter(~toxicity.held_out()).collect()}
+    weights, bias = _plain_fit([t for i, t in rows if i in used], [l for i, l in labels if i in used], groups, 4e-3, 2.0)
+    model = toxicity.train(docs, marks, groups=groups, l1=4e-3, counterfactual=2.0, steps=3000)
+    probe = docs.unionByName(spark.createDataFrame([(-1, "insult"), (-2, "muslim"), (-3, "men women"), (-4, "")], "doc_id long, text string"))
+    for r in toxicity.add_scores(probe, model).collect():
+        want = 1 / (1 + np.exp(-(bias + sum(weights.get(w, 0) for w in set(r.text.split())))))
+        assert abs(r.score - want) < 0.01, (r, want)
+    assert 0 < len(weights) < 30 and len(model.weights) == len(weights)
+
+
+def test_sums_by_runs_of_rows(monkeypatch):
+    rng = np.random.default_rng(0)
+    monkeypatch.setattr(toxicity._Rows, "RUN", 16)
+    lists = [rng.integers(0, 12, rng.choice([0, 1, 5, 40])) for _ in range(50)]
+    pieces = [(np.concatenate([np.zeros(0, int), *lists[i:i + 20]]).astype(np.int32), np.r_[0, np.cumsum([len(x) for x in lists[i:i + 20]])]) for i in (0, 20, 40)]
+    rows, by_word, by_row = toxicity._Rows(pieces), rng.random(12), rng.random(50)
+    assert np.allclose(rows.by_row(by_word), [by_word[x].sum() for x in lists])
+    assert np.allclose(rows.by_word(by_row, 12), [sum((x == w).sum() * by_row[i] for i, x in enumerate(lists)) for w in range(12)])
+    slot = np.where(np.arange(12) % 3 == 0, np.arange(12) // 3, -1)
+    kept = rows.keep(slot)
+    assert kept.n == 50 and np.allclose(kept.by_row(np.ones(4)), [(slot[x] >= 0).sum() for x in lists])
+    r, w = rows.places(slot >= 0)
+    assert sorted(zip(r, w)) == sorted((i, x) for i, xs in enumerate(lists) for x in xs if slot[x] >= 0)
+
+
 def test_rows_that_the_model_sees(spark, monkeypatch):
     seen = []
 
