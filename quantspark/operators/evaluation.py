@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quantspark.operators.ranks import running_totals
+
 OVERFIT_BANDS = (0.1, 0.2, 0.4)
 
 
@@ -94,17 +96,34 @@ def classification_metrics(df: DataFrame, keys: Sequence[str], y: str, pred: str
                       (2 * prec * rec / F.nullif(prec + rec, F.lit(0.0))).alias("f1"))
 
 
+def _tie_counts(df: DataFrame, keys: Sequence[str], y: str, score: str) -> DataFrame:
+    d = df.filter(F.col(score).isNotNull() & F.col(y).isNotNull())
+    return d.groupBy(*keys, score).agg(F.count_if(F.col(y) == 1).alias("_pos"), F.count_if(F.col(y) == 0).alias("_neg"))
+
+
 def roc_auc(df: DataFrame, keys: Sequence[str], y: str, score: str) -> DataFrame:
     """V4: exact ROC AUC by the rank-sum formula with average ranks for
-    ties. Ranks are computed per key (one sort per group)."""
-    d = df.filter(F.col(score).isNotNull() & F.col(y).isNotNull())
-    w = Window.partitionBy(*keys).orderBy(score)
-    ties = Window.partitionBy(*keys, score)
-    d = d.withColumn("_r", F.rank().over(w) + (F.count(F.lit(1)).over(ties) - 1) / 2.0)
-    g = d.groupBy(*keys).agg(F.sum(F.when(F.col(y) == 1, F.col("_r"))).alias("_rs"),
-                             F.count_if(F.col(y) == 1).alias("n_pos"), F.count_if(F.col(y) == 0).alias("n_neg"))
-    auc = (F.col("_rs") - F.col("n_pos") * (F.col("n_pos") + 1) / 2.0) / F.nullif(F.col("n_pos") * F.col("n_neg"), F.lit(0))
-    return g.select(*keys, "n_pos", "n_neg", auc.alias("roc_auc"))
+    ties: over tie groups, positives times the negatives below them and half of
+    those beside them. Groups of any size are spread over tasks."""
+    t = running_totals(_tie_counts(df, keys, y, score), keys, [F.col(score)], {"_b": "_neg"})
+    won = F.sum(F.col("_pos") * (F.col("_b_before") + F.col("_neg") / 2.0))
+    g = t.groupBy(*keys).agg(F.sum("_pos").alias("n_pos"), F.sum("_neg").alias("n_neg"), won.alias("_won"))
+    return g.select(*keys, "n_pos", "n_neg", (F.col("_won") / F.nullif(F.col("n_pos") * F.col("n_neg"), F.lit(0))).alias("roc_auc"))
+
+
+def roc_curve(df: DataFrame, keys: Sequence[str], y: str, score: str) -> DataFrame:
+    """V4: (keys, threshold, fpr, tpr), the points of the ROC curve by falling
+    threshold: (0, 0) without a threshold, then one per distinct score, leaving
+    out those between two equal steps, which lie on a straight line. A rate
+    without any row of its class is null. Its trapezoids add up to ``roc_auc``."""
+    t = running_totals(_tie_counts(df, keys, y, score), keys, [F.col(score).desc()], {"_p": "_pos", "_n": "_neg"}, {"_p": "_pos", "_n": "_neg"})
+    corner = (F.col("_p_next").isNull() | (F.col("_p_next") != F.col("_pos")) | (F.col("_n_next") != F.col("_neg"))
+              | (F.col("_p_before") + F.col("_n_before") == 0))
+    points = t.filter(corner).select(*keys, F.col(score).cast("double").alias("threshold"),
+                                     F.try_divide(F.col("_n_before") + F.col("_neg"), F.col("_n_all")).alias("fpr"),
+                                     F.try_divide(F.col("_p_before") + F.col("_pos"), F.col("_p_all")).alias("tpr"))
+    origin = points.groupBy(*keys).agg(F.min(F.col("fpr") * 0).alias("fpr"), F.min(F.col("tpr") * 0).alias("tpr"))
+    return points.unionByName(origin.select(*keys, F.lit(None).cast("double").alias("threshold"), "fpr", "tpr"))
 
 
 def direction_accuracy(df: DataFrame, keys: Sequence[str], order: str, y: str, p: str) -> DataFrame:

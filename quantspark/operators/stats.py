@@ -12,9 +12,11 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quantspark.operators.ranks import group_quantiles, wide_quantiles
+
 HIST_BUCKETS = 4096
 FINAL_CANDIDATES = 20000
 
@@ -84,23 +86,23 @@ def quantile_filter(df: DataFrame, c: str, lower: float | None = None,
     return df.filter(cond)
 
 
+def _join_groups(df: DataFrame, rows: DataFrame, group: Sequence[str]) -> DataFrame:
+    """``df`` with the columns of its group's row, rows with null keys included."""
+    key = "_qs_group"
+    return (df.withColumn(key, F.struct(*group)).join(rows.withColumn(key, F.struct(*group)).drop(*group), key, "left").drop(key))
+
+
 def winsorize_by(df: DataFrame, group: Sequence[str], cols: Sequence[str],
                  lower: float = 0.01, upper: float = 0.99) -> DataFrame:
-    """Per-group clip at the group's own quantiles. The bounds table is
-    one row per group, joined on the group key."""
-    aggs = []
-    for c in cols:
-        aggs += [F.percentile(c, lower).alias(f"_lo_{c}"), F.percentile(c, upper).alias(f"_hi_{c}")]
-    bounds = df.groupBy(*group).agg(*aggs)
-    j = df.join(bounds, list(group), "left")
+    """Per-group clip at the group's own quantiles, which are found for all
+    columns at once without holding a group in one task."""
+    j = _join_groups(df, wide_quantiles(df, group, cols, (lower, upper)), group)
     sel = []
     for f in df.columns:
         if f in cols:
             x = F.col(f)
-            sel.append(F.when(x.isNull(), None)
-                        .when(x < F.col(f"_lo_{f}"), F.col(f"_lo_{f}"))
-                        .when(x > F.col(f"_hi_{f}"), F.col(f"_hi_{f}"))
-                        .otherwise(x).alias(f))
+            lo, hi = F.col(f"{f}_q0"), F.col(f"{f}_q1")
+            sel.append(F.when(x.isNull(), None).when(x < lo, lo).when(x > hi, hi).otherwise(x).alias(f))
         else:
             sel.append(F.col(f))
     return j.select(*sel)
@@ -108,20 +110,19 @@ def winsorize_by(df: DataFrame, group: Sequence[str], cols: Sequence[str],
 
 def zscore_by(df: DataFrame, group: Sequence[str], cols: Sequence[str], sample: bool = True,
               suffix: str = "") -> DataFrame:
-    """(x - mean) / std within the group (std sample or population).
-    One partitioning by the group key for all columns."""
-    w = Window.partitionBy(*group)
+    """(x - mean) / std within the group (std sample or population), from
+    one aggregate for all columns that is joined back."""
     sd = F.stddev_samp if sample else F.stddev_pop
+    moments = df.groupBy(*group).agg(*[x for c in cols for x in (F.avg(c).alias(f"_mean_{c}"), sd(c).alias(f"_sd_{c}"))])
     sel = []
     for f in df.columns:
         if f in cols:
-            z = (F.col(f) - F.avg(f).over(w)) / F.nullif(sd(f).over(w), F.lit(0.0))
-            sel.append(z.alias(f + suffix))
+            sel.append(((F.col(f) - F.col(f"_mean_{f}")) / F.nullif(F.col(f"_sd_{f}"), F.lit(0.0))).alias(f + suffix))
             if suffix:
                 sel.append(F.col(f))
         else:
             sel.append(F.col(f))
-    return df.select(*sel)
+    return _join_groups(df, moments, group).select(*sel)
 
 
 def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -131,18 +132,13 @@ def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 
 
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """count/mean/std/min/25%/50%/75%/max per column as long rows."""
-    parts = []
-    for c in cols:
-        parts.append(df.agg(
-            F.lit(c).alias("column"), F.count(c).alias("count"), F.avg(c).alias("mean"),
-            F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"),
-            F.percentile(c, 0.25).alias("p25"), F.percentile(c, 0.5).alias("p50"),
-            F.percentile(c, 0.75).alias("p75"), F.max(c).cast("double").alias("max")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """count/mean/std/min/25%/50%/75%/max per column as long rows; one
+    scan for the moments and one pass for all quantiles."""
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in cols]))
+    moments = df.select(each.alias("_e")).select("_e.column", "_e.x").groupBy("column").agg(
+        F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"), F.min("x").alias("min"), F.max("x").alias("max"))
+    q = group_quantiles(df, [], cols, (0.25, 0.5, 0.75)).select("column", F.col("q0").alias("p25"), F.col("q1").alias("p50"), F.col("q2").alias("p75"))
+    return moments.join(q, "column", "left").select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def gram(df: DataFrame, cols: Sequence[str]) -> np.ndarray:

@@ -70,6 +70,12 @@ def q_v3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_doubles(cm.join(auc, "asset").join(dr, "asset"))
 
 
+def q_v4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V4: corner points of the ROC curve per asset on the test split."""
+    s = scored(spark, sf_dir)
+    return round_doubles(EV.roc_curve(s.filter(F.col("split") == "test"), ["asset"], "label", "pred"))
+
+
 def q_e8(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = scored(spark, sf_dir)
     s = s.withColumn("rsplit", EV.random_split(F.concat_ws("|", "asset", F.col("bar_ts").cast("string"))))
@@ -141,5 +147,14 @@ SELECT * FROM cm3 JOIN au USING (asset) JOIN dr USING (asset)""",
     ["asset", "tp", "fp", "fn", "tn", "n_pos", "n_neg"],
     ["accuracy", "precision", "recall", "f1", "roc_auc", "direction_accuracy", "sign_accuracy"])
 
-QUERIES = {"e1": q_e1, "v1": q_v1, "e5": q_e5, "v3": q_v3, "e8": q_e8}
-ORACLE = {"e1": SQL_E1, "v1": SQL_V1, "e5": SQL_E5, "v3": SQL_V3}
+SQL_V4 = sql_round_select(f"""
+WITH t AS (SELECT asset, pred, count(*) FILTER (WHERE label = 1) AS p, count(*) FILTER (WHERE label = 0) AS q FROM ({SQL_SCORED}) s
+           WHERE split = 'test' AND pred IS NOT NULL AND label IS NOT NULL GROUP BY 1, 2),
+c AS (SELECT *, sum(p) OVER w AS tps, sum(q) OVER w AS fps, lag(p) OVER w AS p0, lead(p) OVER w AS p1, lead(q) OVER w AS q1,
+             nullif(sum(p) OVER (PARTITION BY asset), 0) AS pp, nullif(sum(q) OVER (PARTITION BY asset), 0) AS qq
+      FROM t WINDOW w AS (PARTITION BY asset ORDER BY pred DESC))
+SELECT asset, pred AS threshold, fps / qq AS fpr, tps / pp AS tpr FROM c WHERE p0 IS NULL OR p1 IS NULL OR p1 <> p OR q1 <> q
+UNION ALL SELECT DISTINCT asset, NULL, 0 / qq, 0 / pp FROM c""", ["asset"], ["threshold", "fpr", "tpr"])
+
+QUERIES = {"v4": q_v4, "e1": q_e1, "v1": q_v1, "e5": q_e5, "v3": q_v3, "e8": q_e8}
+ORACLE = {"v4": SQL_V4, "e1": SQL_E1, "v1": SQL_V1, "e5": SQL_E5, "v3": SQL_V3}

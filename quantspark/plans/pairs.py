@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quantspark.operators.bars import last_per_bar
-from quantspark.operators.ordered import rolling
+from quantspark.operators.ordered import day_number, ordered_select, rolling
 from quantspark.plans.common import round_doubles, sql_round_select
 from quantspark.sources.tables import ticks
 
@@ -22,6 +22,8 @@ OTHERS = ("error", "signup", "view")
 HORIZON = 6
 THRESHOLD_WINDOW = 50
 SEQ_LEN = 6
+LAGS = (1, 2, 3)
+CHUNK_ROWS = 100_000
 # Asset-set ablation lists
 ASSET_SETS = {"coin_btc": (COIN, BTC), "plus_error": (COIN, BTC, "error"), "all": (COIN, BTC) + OTHERS}
 
@@ -78,23 +80,52 @@ def q_d3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J2 + J3 + D4: coin and btc inner-joined, the other series left-joined
-    on the hour; per-series return and one lag; next coin move up flag."""
+    on the hour; per-series return and its lags 1 to 3; whether the hour's own
+    coin return is up (a first hour without a return is not)."""
     h = hourly_close(spark, sf_dir)
     m = _series(h, COIN, "coin").join(_series(h, BTC, "btc"), "bar_ts", "inner")
     for o in OTHERS:
         m = m.join(_series(h, o, o), "bar_ts", "left")
-    w = Window.orderBy("bar_ts")
     names = ["coin", "btc", *OTHERS]
-    m = m.select("*", *[(F.col(n) / F.lag(n, 1).over(w) - 1).alias(f"{n}_ret") for n in names])
-    m = m.select("*", *[F.lag(f"{n}_ret", 1).over(w).alias(f"{n}_ret_lag1") for n in names],
-                 (F.lead("coin_ret", 1).over(w) > 0).cast("int").alias("target_up"))
-    return m
+
+    def returns(w):
+        return [(F.col(n) / F.lag(n, 1).over(w) - 1).alias(f"{n}_ret") for n in names]
+
+    def lags(w):
+        return [F.lag(f"{n}_ret", k).over(w).alias(f"{n}_ret_lag_{k}") for n in names for k in LAGS]
+
+    # one series; rows are numbered by day and windows run in chunks
+    m = ordered_select(m.withColumn("_series", F.lit(1)), ["_series"], ["bar_ts"], [returns, lags], back=1 + max(LAGS),
+                       chunk_rows=CHUNK_ROWS, bucket=day_number("bar_ts")).drop("_series")
+    return m.withColumn("target_up", F.coalesce(F.col("coin_ret") > 0, F.lit(False)).cast("int"))
+
+
+def pair_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 + D4, one row per (asset, hour) that the asset shares with btc: both
+    closes and returns, their lags 1 to 3, and whether the asset's own return is
+    up; rows without all lags are left out. All pairs run at once."""
+    h = hourly_close(spark, sf_dir)
+    btc = _series(h, BTC, "btc_close")
+    m = h.filter(F.col("asset") != BTC).select("asset", "bar_ts", "close").join(btc, "bar_ts", "inner")
+
+    def returns(w):
+        return [(F.col(c) / F.lag(c, 1).over(w) - 1).alias(r) for c, r in (("btc_close", "btc_ret_1h"), ("close", "ret_1h"))]
+
+    def lags(w):
+        return [F.lag(f"{s}_1h", k).over(w).alias(f"{s}_lag_{k}") for s in ("btc_ret", "ret") for k in LAGS]
+
+    m = ordered_select(m, ["asset"], ["bar_ts"], [returns, lags], back=1 + max(LAGS), chunk_rows=CHUNK_ROWS, bucket=day_number("bar_ts"))
+    return m.withColumn("target_up", (F.col("ret_1h") > 0).cast("int")).dropna()
 
 
 def q_d4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_doubles(all_assets(spark, sf_dir))
 
 
+def q_d4_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_doubles(pair_returns(spark, sf_dir))
+
+
 def market_hours(df: DataFrame, ts: str = "bar_ts", tz: str = "US/Eastern") -> DataFrame:
     """Keep Mon-Fri 09:30-16:00 local time, both ends inclusive."""
     # NTZ -> NTZ conversion: independent of the session time zone
@@ -162,10 +193,21 @@ m AS (SELECT a.bar_ts, a.coin, b.btc, {', '.join(f'{o}.{o}' for o in OTHERS)}
       FROM ({_series_sql(COIN, 'coin')}) a JOIN ({_series_sql(BTC, 'btc')}) b USING (bar_ts)
       {' '.join(f"LEFT JOIN ({_series_sql(o, o)}) {o} ON {o}.bar_ts = a.bar_ts" for o in OTHERS)}),
 m1 AS (SELECT *, {', '.join(f'{n} / lag({n}, 1) OVER w - 1 AS {n}_ret' for n in _NAMES)} FROM m WINDOW w AS (ORDER BY bar_ts))
-SELECT *, {', '.join(f'lag({n}_ret, 1) OVER w AS {n}_ret_lag1' for n in _NAMES)},
-       CAST(lead(coin_ret, 1) OVER w > 0 AS INTEGER) AS target_up
+SELECT *, {', '.join(f'lag({n}_ret, {k}) OVER w AS {n}_ret_lag_{k}' for n in _NAMES for k in LAGS)},
+       CASE WHEN coin_ret > 0 THEN 1 ELSE 0 END AS target_up
 FROM m1 WINDOW w AS (ORDER BY bar_ts)""", ["bar_ts", "target_up"],
-    [*_NAMES, *[f"{n}_ret" for n in _NAMES], *[f"{n}_ret_lag1" for n in _NAMES]])
+    [*_NAMES, *[f"{n}_ret" for n in _NAMES], *[f"{n}_ret_lag_{k}" for n in _NAMES for k in LAGS]])
+
+_PAIR_LAGS = [f"{s}_lag_{k}" for s in ("btc_ret", "ret") for k in LAGS]
+SQL_D4_PAIRS = sql_round_select(f"""
+WITH h AS ({SQL_CLOSE}), b AS ({_series_sql(BTC, 'btc_close')}),
+m AS (SELECT h.asset, bar_ts, close, btc_close FROM h JOIN b USING (bar_ts) WHERE h.asset <> '{BTC}'),
+m1 AS (SELECT *, btc_close / lag(btc_close) OVER w - 1 AS btc_ret_1h, close / lag(close) OVER w - 1 AS ret_1h
+       FROM m WINDOW w AS (PARTITION BY asset ORDER BY bar_ts)),
+m2 AS (SELECT *, {', '.join(f'lag({s}_1h, {k}) OVER w AS {s}_lag_{k}' for s in ('btc_ret', 'ret') for k in LAGS)}
+       FROM m1 WINDOW w AS (PARTITION BY asset ORDER BY bar_ts))
+SELECT *, CAST(ret_1h > 0 AS INTEGER) AS target_up FROM m2 WHERE {' AND '.join(f'{c} IS NOT NULL' for c in _PAIR_LAGS)}""",
+    ["asset", "bar_ts", "target_up"], ["close", "btc_close", "btc_ret_1h", "ret_1h", *_PAIR_LAGS])
 
 SQL_P19 = sql_round_select(f"""
 SELECT asset, bar_ts, close, CAST(timezone('US/Eastern', bar_ts AT TIME ZONE 'UTC') AS TIMESTAMP) AS local_ts
@@ -182,5 +224,5 @@ SELECT asset, bar_ts, CASE WHEN count(*) OVER w = {SEQ_LEN} THEN {SEQ_LEN} END A
 FROM ({SQL_CLOSE}) h WINDOW w AS (PARTITION BY asset ORDER BY bar_ts ROWS BETWEEN {SEQ_LEN - 1} PRECEDING AND CURRENT ROW)""",
     ["asset", "bar_ts", "seq_len"], ["seq_first", "seq_last", "seq_sum"])
 
-QUERIES = {"d3": q_d3, "d4": q_d4, "p19": q_p19, "r7": q_r7}
-ORACLE = {"d3": SQL_D3, "d4": SQL_D4, "p19": SQL_P19, "r7": SQL_R7}
+QUERIES = {"d3": q_d3, "d4": q_d4, "d4_pairs": q_d4_pairs, "p19": q_p19, "r7": q_r7}
+ORACLE = {"d3": SQL_D3, "d4": SQL_D4, "d4_pairs": SQL_D4_PAIRS, "p19": SQL_P19, "r7": SQL_R7}

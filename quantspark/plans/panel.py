@@ -8,7 +8,8 @@ per customer nation and quarter, attached to each supplier-month through
 the supplier's nation with row-presence as-of semantics.
 
 Windows per ticker run over months (bounded by the calendar); every
-cross-section is partitioned by month.
+cross-section is ranked by ranges of (month, value), so that no month has to
+fit one task.
 """
 
 from __future__ import annotations
@@ -20,8 +21,10 @@ from quantspark.functions.numeric import qcut_of_rank, safe_div
 from quantspark.operators.asof import asof_join
 from quantspark.operators.bars import last_valid_per_period
 from quantspark.operators.ordered import ordered_select, rolling
+from quantspark.operators.ranks import rank_rows, with_tie_ranks
 from quantspark.operators.stats import winsorize_by, zscore_by
 from quantspark.plans.common import round_doubles, sql_round_select, sql_roll
+from quantspark.session import materialize
 from quantspark.sources.tables import table
 
 FACTORS = ["ret_1m", "mom_3m", "ma_dist_3m", "vol_3m", "log_mcap", "avg_disc", "avg_tax", "fund_growth"]
@@ -92,7 +95,7 @@ LAGGED = [f"{f}_l1" for f in TECHNICAL] + [f"{f}_l2" for f in FUNDAMENTAL]
 def standardized(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C1 + C2: winsorise each lagged factor per month at 1%/99%, then
     z-score per month (sample std); score = mean of available z-scores."""
-    p = monthly_panel(spark, sf_dir).select("ticker", "month_end", "next_ret", *LAGGED)
+    p = materialize(monthly_panel(spark, sf_dir).select("ticker", "month_end", "next_ret", *LAGGED))
     p = winsorize_by(p, ["month_end"], LAGGED)
     p = zscore_by(p, ["month_end"], LAGGED)
     zs = [F.col(c) for c in LAGGED]
@@ -110,9 +113,7 @@ def quintiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     the best) and pandas-qcut into
     five groups per month."""
     p = standardized(spark, sf_dir).filter(F.col("score").isNotNull())
-    w = Window.partitionBy("month_end").orderBy(F.desc("score"), "ticker")
-    p = p.withColumn("rank", F.row_number().over(w)).withColumn(
-        "n", F.count(F.lit(1)).over(Window.partitionBy("month_end")))
+    p = rank_rows(p, ["month_end"], [F.desc("score"), F.col("ticker")])
     return p.withColumn("quintile", qcut_of_rank("rank", "n", QUINTILES))
 
 
@@ -154,11 +155,7 @@ def ic_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C12 + C13: Pearson and Spearman (average-rank) correlation of score
     with next-month return per month."""
     p = standardized(spark, sf_dir).filter(F.col("score").isNotNull() & F.col("next_ret").isNotNull())
-    def avg_rank(c):
-        w = Window.partitionBy("month_end").orderBy(c)
-        ties = Window.partitionBy("month_end", c)
-        return F.rank().over(w) + (F.count(F.lit(1)).over(ties) - 1) / 2.0
-    p = p.withColumn("r_score", avg_rank("score")).withColumn("r_ret", avg_rank("next_ret"))
+    p = with_tie_ranks(p, ["month_end"], {"r_score": "score", "r_ret": "next_ret"})
     return p.groupBy("month_end").agg(F.corr("score", "next_ret").alias("ic_pearson"),
                                       F.corr("r_score", "r_ret").alias("ic_spearman"),
                                       F.count(F.lit(1)).alias("names"))

@@ -125,18 +125,18 @@ def smoothing_forecasts(values: DataFrame, key: str, order: str, value: str, hor
     def ses(alpha: float) -> Column:
         # state (level, sse); level starts at the first value
         init = F.struct(F.element_at("xs", 1).alias("l"), F.lit(0.0).alias("sse"))
-        return F.aggregate(F.slice("xs", 2, 1 << 30), init,
+        return F.aggregate(F.slice("xs", F.lit(2), F.size("xs")), init,
                            lambda st, x: F.struct((alpha * x + (1 - alpha) * st["l"]).alias("l"),
                                                   (st["sse"] + (x - st["l"]) * (x - st["l"])).alias("sse")))
 
     def holt(alpha: float, beta: float) -> Column:
-        init = F.struct(F.element_at("xs", 2).alias("l"),
-                        (F.element_at("xs", 2) - F.element_at("xs", 1)).alias("b"))
+        first, second = F.get("xs", F.lit(0)), F.get("xs", F.lit(1))
+        init = F.struct(second.alias("l"), (second - first).alias("b"))
 
         def step(st, x):
             lvl = alpha * x + (1 - alpha) * (st["l"] + st["b"])
             return F.struct(lvl.alias("l"), (beta * (lvl - st["l"]) + (1 - beta) * st["b"]).alias("b"))
-        return F.aggregate(F.slice("xs", 3, 1 << 30), init, step)
+        return F.aggregate(F.slice("xs", F.lit(3), F.size("xs")), init, step)
 
     def holt_fitted(kind: str) -> Column:
         grow = kind == "exponential"
@@ -157,7 +157,7 @@ def smoothing_forecasts(values: DataFrame, key: str, order: str, value: str, hor
 
         def path(p) -> Column:
             init = F.struct(x2.alias("l"), (F.try_divide(x2, x1) if grow else x2 - x1).alias("b"), F.lit(0.0).alias("sse"))
-            st = F.aggregate(F.slice("xs", 3, 1 << 30), init, step(p))
+            st = F.aggregate(F.slice("xs", F.lit(3), F.size("xs")), init, step(p))
             reach = sum(damp ** k for k in range(1, horizon + 1))
             end = st["l"] * F.pow(st["b"], F.lit(horizon)) if grow else st["l"] + reach * st["b"]
             return F.struct(st["sse"].alias("sse"), p["alpha"], p["beta"], end.alias("forecast"))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quantspark.functions.numeric import binomial_moe
+from quantspark.operators.ranks import wide_quantiles
 from quantspark.operators.stats import describe, null_counts
 from quantspark.plans.common import round_doubles, sql_round_select
 from quantspark.sources.tables import table
@@ -71,9 +72,11 @@ def q_a6(spark: SparkSession, sf_dir: str) -> DataFrame:
     count, share of discounted lines and its 95% margin."""
     li = table(spark, sf_dir, "lineitem")
     g = li.groupBy("l_returnflag").agg(
-        F.median("l_extendedprice").alias("median_price"), F.avg("l_extendedprice").alias("mean_price"),
+        F.avg("l_extendedprice").alias("mean_price"),
         F.stddev_samp("l_extendedprice").alias("std_price"), F.count(F.lit(1)).alias("n"),
         F.avg((F.col("l_discount") > 0.05).cast("double")).alias("share_high_discount"))
+    med = wide_quantiles(li, ["l_returnflag"], ["l_extendedprice"], [0.5]).withColumnRenamed("l_extendedprice_q0", "median_price")
+    g = g.join(med, "l_returnflag", "left")
     return round_doubles(g.withColumn("moe_95", binomial_moe("share_high_discount", "n")), 6,
                          {"mean_price": 4, "std_price": 4, "median_price": 4})
 

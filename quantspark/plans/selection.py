@@ -1,13 +1,10 @@
-"""Model selection and diagnostics jobs (E6, E7, E10, M4, M10, M11, M13, C16,
-R5, V7, V11). Rows-only checks: these fit models."""
+"""Model selection and diagnostics jobs (E6, E7, E10, M4, M10, M11, M13, V7, V11). Rows-only checks: these fit models."""
 
 from __future__ import annotations
 
 import math
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml.feature import OneHotEncoder, StringIndexer
-from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -69,12 +66,14 @@ def q_m10(spark: SparkSession, sf_dir: str) -> DataFrame:
     concurrently from a small driver thread pool on cached folds; the
     comparison table is sorted and the best setting flagged."""
     f = _split_features(spark, sf_dir).filter(F.col("split") != "test")
+    # positions and sizes of the rows that are left, as folds are cut on them
+    f = f.drop("n").join(f.groupBy("asset").agg(F.count(F.lit(1)).alias("n")), "asset")
     fold, _ = EV.expanding_fold("pos", "n", FOLDS)
     f = materialize(f.withColumn("fold", fold))
 
     def run(args):
         gi, params, k = args
-        train = f.filter(F.col("fold").isNotNull() & (F.col("fold") < k) | F.col("fold").isNull() & (F.col("pos") <= F.floor(F.col("n") / (FOLDS + 1))))
+        train = f.filter(F.col("fold").isNotNull() & (F.col("fold") < k) | F.col("fold").isNull())
         test = f.filter(F.col("fold") == k)
         est = M.regressor("gbt", "target_vol_24h")
         for p, v in params.items():
@@ -124,24 +123,5 @@ def q_m11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(out, "item string, rmse double, rmse_increase double, mae double")
 
 
-def q_c16(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C16 + R5: OLS with intercept of hourly return on three factors plus a
-    one-hot weekday, coefficient table with standard errors, t and p."""
-    f = _split_features(spark, sf_dir).filter(F.col("return_6h").isNotNull())
-    f = f.withColumn("dow", F.col("day_of_week").cast("string"))
-    idx = StringIndexer(inputCol="dow", outputCol="dow_idx", handleInvalid="keep", stringOrderType="alphabetAsc").fit(f)
-    f = OneHotEncoder(inputCol="dow_idx", outputCol="dow_vec", dropLast=True).fit(idx.transform(f)).transform(idx.transform(f))
-    from pyspark.ml.feature import VectorAssembler
-    cols = ["realized_vol_24h", "volume_ratio_24h", "return_momentum_24h"]
-    d = VectorAssembler(inputCols=cols + ["dow_vec"], outputCol="features").transform(f)
-    glr = GeneralizedLinearRegression(family="gaussian", link="identity", labelCol="return_6h", featuresCol="features").fit(d)
-    s = glr.summary
-    names = cols + [f"dow_{i}" for i in range(len(glr.coefficients) - len(cols))] + ["intercept"]
-    coefs = list(glr.coefficients) + [glr.intercept]
-    rows = [(n, float(c), float(se), float(t), float(p)) for n, c, se, t, p in
-            zip(names, coefs, s.coefficientStandardErrors, s.tValues, s.pValues)]
-    return spark.createDataFrame(rows, "term string, coef double, std_err double, t_value double, p_value double")
-
-
-QUERIES = {"e6": q_e6, "m10": q_m10, "m11": q_m11, "c16": q_c16}
+QUERIES = {"e6": q_e6, "m10": q_m10, "m11": q_m11}
 ORACLE: dict[str, str] = {}

@@ -24,8 +24,8 @@ EVENTS_SCHEMA = T.StructType([
 
 
 def tick_stream(spark: SparkSession, source_dir: str, glob: str = "events*.parquet") -> DataFrame:
-    return _ticks(spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", glob)
-                  .option("maxFilesPerTrigger", 16).parquet(source_dir))
+    # the pattern stands in the path, so that it also takes a table that is a folder of part files
+    return _ticks(spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", 16).parquet(os.path.join(source_dir, glob)))
 
 
 def _ticks(events: DataFrame) -> DataFrame:
@@ -54,7 +54,7 @@ def open_bars(spark: SparkSession, source_dir: str, written: DataFrame, last: st
     from a window and a watermark delay before ``last``, the stream's last
     watermark (all rows if there was none), so that copies of earlier ticks are
     still dropped."""
-    ticks = _ticks(spark.read.schema(EVENTS_SCHEMA).option("pathGlobFilter", glob).parquet(source_dir)).filter("ts IS NOT NULL")
+    ticks = _ticks(spark.read.schema(EVENTS_SCHEMA).parquet(os.path.join(source_dir, glob))).filter("ts IS NOT NULL")
     start = F.lit(last).cast("timestamp") - F.expr(f"INTERVAL {width}")
     if last:
         ticks = ticks.filter(F.col("ts") >= start - F.expr(f"INTERVAL {watermark}"))

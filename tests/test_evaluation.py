@@ -85,3 +85,22 @@ def test_null_keys_as_of(spark):
     wide, cut = ({(r.k): r.r_v for r in asof_join(left, right, ["k"], "t", "t2", ["v"], prefix="r_", axis="int", **o).collect()}
                  for o in ({}, {"bucket_width": 10}))
     assert wide == cut == {None: 5.0, "a": 6.0}
+
+
+def test_search_folds_are_cut_on_the_rows_left(spark, monkeypatch):
+    """27 train and validation rows in 3 folds: the first train block has 9 rows."""
+    from quantspark.plans import selection as S
+    n, seen = 32, []
+    f = spark.range(n).select(F.lit("a").alias("asset"), (F.col("id") + 1).alias("pos"), F.lit(n).alias("n"),
+                              F.when(F.col("id") < 27, "train").otherwise("test").alias("split"), F.rand(1).alias("target_vol_24h"))
+
+    class Stop:
+        def fit(self, train):
+            seen.append(train.count())
+            raise StopIteration
+
+    monkeypatch.setattr(S, "_split_features", lambda *a: f)
+    monkeypatch.setattr(S.M, "pipeline", lambda *a, **k: Stop())
+    with pytest.raises((StopIteration, RuntimeError)):
+        S.q_m10(spark, "")
+    assert set(seen) <= {9, 15, 21} and 9 in seen

@@ -45,3 +45,9 @@ def test_scenarios(spark):
     assert len(rows) == 5 and rows == q_b28(spark, SF).collect()
     assert all(r.position in POSITIONS and r.leverage in LEVERAGES and r.collateral in COLLATERALS for r in rows)
     assert all(r.volume_ratio is not None for r in rows)
+
+
+def test_short_series_have_no_trend(spark):
+    df = spark.createDataFrame([("one", 1, 5.0), ("two", 1, 5.0), ("two", 2, 6.0)], "k string, t int, v double")
+    got = {r.k: r.asDict() for r in smoothing_forecasts(df, "k", "t", "v").collect()}
+    assert set(got) == {"one", "two"} and sum(v is None for v in got["one"].values()) > sum(v is None for v in got["two"].values())

@@ -18,3 +18,9 @@ def test_stream_bars_reach_the_end_of_input(spark):
     got = q_t1(spark, SF).collect()
     assert len(got) == len(rows)
     assert {(r.asset, r.bar_ts): (r.open, r.high, r.low, r.close, r.ticks) for r in got} == rows
+
+
+def test_table_as_a_folder_of_part_files(spark, tmp_path):
+    spark.read.parquet(f"{SF}/events.parquet").repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    key = ("asset", "bar_ts", "open", "close", "ticks")
+    assert sorted(map(str, q_t1(spark, str(tmp_path)).select(*key).collect())) == sorted(map(str, q_t1(spark, SF).select(*key).collect()))
