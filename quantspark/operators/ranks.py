@@ -107,3 +107,22 @@ def wide_quantiles(df: DataFrame, keys: Sequence[str], cols: Sequence[str], qs:
     """One row per group that has any value: ``{column}_q{i}`` for every column and quantile."""
     got = group_quantiles(df, keys, cols, qs)
     return got.groupBy(*keys).agg(*[F.max(F.when(F.col("column") == c, F.col(f"q{i}"))).alias(f"{c}_q{i}") for c in cols for i in range(len(qs))])
+
+
+def running_product(df: DataFrame, keys: Sequence[str], order: Sequence[Column], factor: str, out: str = "product") -> DataFrame:
+    """``df`` with the product of the group's factors up to and including the
+    row, from running sums of logs, of negative and of zero factors, so that
+    ranges of a long series are combined like any sum. Null factors count as 1;
+    a leading run of them is null."""
+    x = F.col(factor).cast("double")
+    parts = df.withColumn("_log", F.when(x.isNotNull() & (x != 0), F.ln(F.abs(x))).otherwise(0.0)).withColumn(
+        "_neg", F.coalesce((x < 0).cast("long"), F.lit(0))).withColumn("_zero", F.coalesce((x == 0).cast("long"), F.lit(0))).withColumn(
+        "_has", x.isNotNull().cast("long"))
+    names = {n: n for n in ("_log", "_neg", "_zero", "_has")}
+    t = running_totals(parts, keys, order, names)
+
+    def upto(n):
+        return F.col(f"{n}_before") + F.col(n)
+
+    size = F.when(upto("_zero") > 0, 0.0).otherwise(F.exp(upto("_log")) * F.when(upto("_neg") % 2 == 0, 1.0).otherwise(-1.0))
+    return t.select(*df.columns, F.when(upto("_has") > 0, size).alias(out))
