@@ -271,13 +271,10 @@ def _take(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarr
 
 
 class WordCache:
-    """Frequent words and their ids, in flat arrays; kept as a table in the
-    shared folder, which each Python worker reads once."""
+    """Frequent words and their ids, kept as a table in the shared folder, of
+    which each Python worker reads once what it needs."""
 
-    loaded: dict[str, WordCache] = {}
-
-    def __init__(self, words: pa.Array, starts: np.ndarray, sizes: np.ndarray, ids: np.ndarray):
-        self.words, self.starts, self.sizes, self.ids = words, starts, sizes, ids
+    loaded: dict[tuple[str, str], object] = {}
 
     @staticmethod
     def build(blocks: DataFrame, literal: Column, cache_words: int) -> str:
@@ -293,40 +290,44 @@ class WordCache:
                 break
             least = row["class"]
         top = words.filter(F.lit(False) if least is None else F.col("class") >= least)
-        groups = top.groupBy(F.pmod(F.xxhash64("word"), F.lit(1024)).alias("g")).agg(
-            F.collect_list("word").alias("words"), F.collect_list("class").alias("classes"))
+        groups = top.groupBy(F.pmod(F.xxhash64("word"), F.lit(1024)).alias("g")).agg(F.collect_list("word").alias("words"))
         groups = stage(groups.withColumn("w", F.transform("words", _bytes_as_text)), "word-groups")
         folder = shared_path(blocks.sparkSession, "word-cache")
         # the literal stands in plans without shuffles only, which aren't planned again as they run
         with scoped(blocks.sparkSession, **SHORT_PLANS):
-            _encoded(groups, literal).select("words", "classes", "ids").write.parquet(folder)
+            _encoded(groups, literal).select("words", "ids").write.parquet(folder)
         return folder
 
     @classmethod
-    def load(cls, folder: str) -> WordCache:
-        if folder not in cls.loaded:
-            import pyarrow.parquet as pq
-            from pyarrow import fs
-            files, root = open_fs(folder)
-            names = sorted(f.path for f in files.get_file_info(fs.FileSelector(root)) if f.base_name.endswith(".parquet"))
-            words, rank, sizes, ids = [], [], [], []
-            for name in names:
-                table = pq.read_table(name, filesystem=files)
-                for chunk in table.to_batches():
-                    words.append(chunk.column("words").flatten())
-                    rank.append(chunk.column("classes").flatten().to_numpy(zero_copy_only=False))
-                    lists = chunk.column("ids").flatten()
-                    sizes.append(pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int32))
-                    ids.append(lists.flatten().to_numpy(zero_copy_only=False).astype(np.int32))
-            none = np.zeros(0, np.int32)
-            sizes = np.concatenate([none, *sizes]).astype(np.int64)
-            # frequent words first: codes of documents then compress well
-            order = np.argsort(-np.concatenate([none, *rank]), kind="stable")
-            cls.loaded.clear()  # one at a time
-            cls.loaded[folder] = cls(pa.concat_arrays(words or [pa.array([], pa.string())]).take(pa.array(order)),
-                                     _ragged(sizes)[0][order], sizes[order], np.concatenate([none, *ids]))
+    def _columns(cls, folder: str, name: str) -> list[pa.Array]:
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+        files, root = open_fs(folder)
+        names = sorted(f.path for f in files.get_file_info(fs.FileSelector(root)) if f.base_name.endswith(".parquet"))
+        return [c.flatten() for n in names for c in pq.read_table(n, columns=[name], filesystem=files).column(name).chunks]
+
+    @classmethod
+    def _once(cls, folder: str, name: str, make):
+        if (folder, name) not in cls.loaded:
+            for key in [k for k in cls.loaded if k[0] != folder]:  # one cache at a time
+                del cls.loaded[key]
+            cls.loaded[folder, name] = make(cls._columns(folder, name))
             pa.default_memory_pool().release_unused()
-        return cls.loaded[folder]
+        return cls.loaded[folder, name]
+
+    @classmethod
+    def words(cls, folder: str) -> pa.Array:
+        return cls._once(folder, "words", lambda chunks: pa.concat_arrays(chunks or [pa.array([], pa.string())]))
+
+    @classmethod
+    def ids(cls, folder: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(starts, sizes, ids) in the order of ``words``."""
+        def flat(chunks):
+            none = np.zeros(0, np.int32)
+            sizes = np.concatenate([none, *(pc.list_value_length(c).to_numpy(zero_copy_only=False).astype(np.int32) for c in chunks)]).astype(np.int64)
+            return _ragged(sizes)[0], sizes, np.concatenate([none, *(c.flatten().to_numpy(zero_copy_only=False).astype(np.int32) for c in chunks)])
+
+        return cls._once(folder, "ids", flat)
 
 
 def _encoded(blocks: DataFrame, literal: Column) -> DataFrame:
@@ -375,7 +376,7 @@ def _own_words(blocks: DataFrame, cache: str, cutter: Cutter) -> DataFrame:
                            T.StructField("parts", T.BinaryType()), T.StructField("w", T.ArrayType(T.StringType()))])
 
     def run(batches):
-        known, cutter = WordCache.load(cache).words, shared.value
+        known, cutter = WordCache.words(cache), shared.value
         for batch in batches:
             # one look-up for all blocks of the batch
             found = pc.fill_null(pc.index_in(batch.column(3).flatten(), value_set=known), -1).to_numpy(zero_copy_only=False).astype(np.int32)
@@ -400,8 +401,7 @@ def _assemble(blocks: DataFrame, cache: str, finish, schema: T.StructType) -> Da
     """``finish(doc_ids, offsets, ids)`` makes a record batch of documents whose
     ids are ids[offsets[i]:offsets[i + 1]]."""
     def run(batches):
-        known = WordCache.load(cache)
-        starts, sizes, ids = known.starts, known.sizes, known.ids
+        starts, sizes, ids = WordCache.ids(cache)
         for batch in batches:
             for b in range(batch.num_rows):
                 words = batch.column(1).slice(b, 1).flatten().to_numpy(zero_copy_only=False).astype(np.int64)
@@ -438,12 +438,6 @@ def encode(docs: DataFrame, path: str | None = None, finish=None, schema: T.Stru
     docs = docs.select("doc_id", "text")
     ranks = load_ranks(path or vocabulary_path())
     literal = rank_literal(ranks)
-    # staged, so that a task has one Python worker at a time
-    # small Arrow batches, as a task holds two at a time on either side
-    with scoped(docs.sparkSession, execution__arrow__maxRecordsPerBatch="1500", execution__arrow__maxBytesPerBatch="8m", **SHORT_PLANS):
-        blocks = stage(_blocks(docs), "blocks")
-        cache = WordCache.build(blocks, literal, cache_words)
-        blocks = stage(_encoded(_own_words(blocks, cache, Cutter(ranks)), literal).drop("w"), "encoded-blocks")
     if finish is None:
         schema = T.StructType([docs.schema["doc_id"], T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
@@ -451,7 +445,11 @@ def encode(docs: DataFrame, path: str | None = None, finish=None, schema: T.Stru
             lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
             return pa.RecordBatch.from_arrays([doc_ids, lists], names=["doc_id", "ids"])
 
-    return _assemble(blocks, cache, finish, schema)
+    # small Arrow batches, as a task holds several at a time; plans with the literal are kept by the driver, so they run here
+    with scoped(docs.sparkSession, execution__arrow__maxRecordsPerBatch="1500", execution__arrow__maxBytesPerBatch="8m", **SHORT_PLANS):
+        blocks = stage(_blocks(docs), "blocks")
+        cache = WordCache.build(blocks, literal, cache_words)
+        return stage(_assemble(_encoded(_own_words(blocks, cache, Cutter(ranks)), literal).drop("w"), cache, finish, schema), "encoded")
 
 
 def pieces_by_id(ranks: dict[bytes, int]) -> list[bytes]:
