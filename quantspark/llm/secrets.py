@@ -2,7 +2,8 @@
 
 Every version of every path is content-addressed (SHA-256 of its text). The
 ledger is a Parquet folder with one row per scanned blob and increment: blob,
-the rule versions that were run on it, and the spans they found. A scan
+the rule versions that were run on it, and the spans they found. Rows that stand
+twice in it, as after two scans at the same time, count once. A scan
 
 1. keeps one row per distinct blob (copies are folded before the shuffle),
 2. runs, on each blob, the rules whose versions the ledger lacks for it,
@@ -22,6 +23,7 @@ extra columns are ignored by ``scan`` and kept by ``redact``.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -51,7 +53,9 @@ class Rule:
 
     @property
     def version(self) -> str:
-        return f"{self.kind}@{self.revision}"
+        """Of what the rule finds: a changed pattern is a new version under any revision."""
+        seen = hashlib.sha256(f"{self.group}:{self.least}:{self.scanned}".encode()).hexdigest()[:12]
+        return f"{self.kind}@{self.revision}-{seen}"
 
 
 # The first three are the base rules; the rest are formats that
@@ -129,7 +133,7 @@ def update_ledger(docs: DataFrame, ledger: str, text: str = "text", rules: Seque
     named = F.transform(live, lambda s: F.struct(s["start"].alias("start"), ranks[s["version"]].alias("rank"),
                                                  s["end"].alias("end"), kinds[s["version"]].alias("kind")))
     return (book.select("blob", named.alias("spans")).filter(F.size("spans") > 0)
-            .groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans")))
+            .groupBy("blob").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans")))
 
 
 def scan(docs: DataFrame, ledger: str | None = None, path: str = "doc_id", text: str = "text",
