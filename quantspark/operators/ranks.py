@@ -15,7 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quantspark.session import materialize
+from quantspark.session import write_once
 
 _RANGE, _GROUP, _ROW = "_rk_range", "_rk_group", "_rk_row"
 
@@ -34,7 +34,7 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     tell rows of a group apart, or equal rows come in any order."""
     ahead = dict(ahead or {})
     zero = {n: F.lit(0).cast(df.schema[c].dataType) for n, c in totals.items()}
-    spread = materialize(df.withColumn(_GROUP, _group(keys)).repartitionByRange(F.col(_GROUP), *order).withColumn(_RANGE, F.spark_partition_id()))
+    spread = write_once(df.withColumn(_GROUP, _group(keys)).repartitionByRange(F.col(_GROUP), *order).withColumn(_RANGE, F.spark_partition_id()), "ranges")
     inside = Window.partitionBy(_RANGE, _GROUP).orderBy(*order)
     rows = spread.select("*", F.row_number().over(inside).alias(_ROW),
                          *[F.coalesce(F.sum(c).over(inside.rowsBetween(Window.unboundedPreceding, -1)), zero[n]).alias(f"_in_{n}") for n, c in totals.items()],

@@ -14,6 +14,7 @@ from quantspark.operators import evaluation as EV
 from quantspark.operators import volatility as V
 from quantspark.plans.common import round_doubles, sql_round_select
 from quantspark.plans.crypto import _d1_sql, hourly_bars
+from quantspark.session import write_once
 
 FOLDS = 5
 
@@ -24,7 +25,8 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = f.select("asset", "bar_ts", F.col("target_vol_24h").alias("y"), F.col("realized_vol_24h").alias("pred"),
                  F.col("target_extreme_vol_flag").alias("label"),
                  F.row_number().over(w).cast("long").alias("pos"), F.count(F.lit(1)).over(Window.partitionBy("asset")).alias("n"))
-    return f.withColumn("split", EV.chronological_split(f, "pos", "n"))
+    # every caller reads it several times
+    return write_once(f.withColumn("split", EV.chronological_split(f, "pos", "n")), "scored")
 
 
 def q_e1(spark: SparkSession, sf_dir: str) -> DataFrame:

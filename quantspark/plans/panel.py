@@ -24,7 +24,7 @@ from quantspark.operators.ordered import ordered_select, rolling
 from quantspark.operators.ranks import rank_rows, with_tie_ranks
 from quantspark.operators.stats import winsorize_by, zscore_by
 from quantspark.plans.common import round_doubles, sql_round_select, sql_roll
-from quantspark.session import materialize
+from quantspark.session import write_once
 from quantspark.sources.tables import table
 
 FACTORS = ["ret_1m", "mom_3m", "ma_dist_3m", "vol_3m", "log_mcap", "avg_disc", "avg_tax", "fund_growth"]
@@ -95,7 +95,7 @@ LAGGED = [f"{f}_l1" for f in TECHNICAL] + [f"{f}_l2" for f in FUNDAMENTAL]
 def standardized(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C1 + C2: winsorise each lagged factor per month at 1%/99%, then
     z-score per month (sample std); score = mean of available z-scores."""
-    p = materialize(monthly_panel(spark, sf_dir).select("ticker", "month_end", "next_ret", *LAGGED))
+    p = write_once(monthly_panel(spark, sf_dir).select("ticker", "month_end", "next_ret", *LAGGED), "panel")
     p = winsorize_by(p, ["month_end"], LAGGED)
     p = zscore_by(p, ["month_end"], LAGGED)
     zs = [F.col(c) for c in LAGGED]

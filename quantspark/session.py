@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,3 +69,14 @@ def materialize(df: DataFrame) -> DataFrame:
     the upstream scan. Used where one table feeds several jobs."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def write_once(df: DataFrame, name: str) -> DataFrame:
+    """``materialize`` as Parquet in the shared checkpoint folder: later jobs read only
+    the columns they use and know the table's size. Removed when the driver's JVM ends."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
