@@ -175,18 +175,27 @@ def path_backtest(trades: DataFrame, bars: DataFrame, max_hours: int) -> DataFra
     ).drop("last_price", "_last_hour")
 
 
-def outcome_distribution(bars: DataFrame, keys: Sequence[str], horizon: int, leverages: Sequence[float],
-                         collateral: float = 1000.0) -> DataFrame:
-    """B9 (re-aimed from random paths): empirical ``horizon``-bar returns
-    of the history give, per leverage, the liquidation probability, P&L
-    percentiles and the break-even share. ``bars`` must carry ``fwd_ret``."""
-    lev = F.explode(F.array(*[F.lit(float(x)) for x in leverages])).alias("leverage")
-    d = bars.filter(F.col("fwd_ret").isNotNull()).select(*keys, "fwd_ret", lev)
-    pnl = F.col("leverage") * collateral * F.col("fwd_ret")
-    liq = F.col("fwd_ret") <= -(1.0 / F.col("leverage"))
-    d = d.withColumn("pnl", F.when(liq, F.lit(-collateral)).otherwise(pnl)).withColumn("liq", liq)
+def outcome_distribution(bars: DataFrame, rates: DataFrame, keys: Sequence[str], horizon: int,
+                         collateral: float = 1000.0, parity: bool = False) -> DataFrame:
+    """B9 (re-aimed from random paths): the empirical ``horizon``-bar returns of
+    the history give, per (keys, leverage) of ``rates`` and per side, the
+    liquidation probability, P&L percentiles, expected interest and the price
+    change that pays it. ``bars`` must carry ``fwd_ret``; ``rates`` the keys,
+    ``leverage`` and ``rate_hourly``.
+
+    A short earns the negative return. parity=True reproduces the literal
+    behaviour, where the surviving paths of a short earn the return itself."""
+    sides = F.explode(F.array(F.lit("long"), F.lit("short"))).alias("position")
+    d = bars.filter(F.col("fwd_ret").isNotNull()).select(*keys, "fwd_ret").join(rates, list(keys)).select("*", sides)
+    size, short = F.col("leverage") * collateral, F.col("position") == "short"
+    interest = F.col("rate_hourly") * horizon * size
+    away = F.when(short, -F.col("fwd_ret")).otherwise(F.col("fwd_ret"))
+    earned = F.col("fwd_ret") if parity else away
+    liq = away <= -(1.0 / F.col("leverage"))
+    d = d.withColumn("pnl", F.when(liq, F.lit(-collateral)).otherwise(size * earned - interest)).withColumn("liq", liq)
     qs = [0.05, 0.25, 0.5, 0.75, 0.95]
-    return d.groupBy(*keys, "leverage").agg(
+    return d.groupBy(*keys, "leverage", "position").agg(
         F.count(F.lit(1)).alias("paths"), F.avg(F.col("liq").cast("double")).alias("liquidation_probability"),
-        F.avg("pnl").alias("mean_pnl"), *[F.percentile("pnl", q).alias(f"pnl_p{int(q * 100)}") for q in qs],
-        F.avg((F.col("pnl") >= 0).cast("double")).alias("break_even_share"))
+        F.avg("pnl").alias("expected_pnl"), *[F.percentile("pnl", q).alias(f"pnl_p{int(q * 100)}") for q in qs],
+        F.max(interest).alias("total_interest_expected"),
+        F.max(F.col("rate_hourly") * horizon).alias("breakeven_price_change"))

@@ -43,18 +43,25 @@ def q_b2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_doubles(optimal_rates(spark, sf_dir), 12)
 
 
-def q_b5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B5 + B3 + B4 + B6 + C10 + J16: rate table by leverage for the latest
-    bar of each asset."""
-    s = states(spark, sf_dir)
-    o = optimal_rates(spark, sf_dir)
+def latest_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quoted rates of every leverage level at the latest bar of each asset."""
+    s = materialize(states(spark, sf_dir))
     latest = s.groupBy("asset").agg(F.max("bar_ts").alias("bar_ts"))
-    cur = latest.join(s, ["asset", "bar_ts"]).join(o, ["asset", "bar_ts"])
+    cur = latest.join(s, ["asset", "bar_ts"])
+    # only the latest states need their best rate
+    o = L.best_rate(L.revenue_grid(cur, ["asset", "bar_ts"], "realized_vol_24h", "volume_ratio_24h"), ["asset", "bar_ts"])
+    cur = cur.join(o, ["asset", "bar_ts"])
     cur = cur.select("asset", "bar_ts", "realized_vol_24h", "optimal_rate_daily",
                      F.explode(F.array(*[F.lit(x) for x in L.LEVERAGE_LEVELS])).alias("leverage"))
     qv = L.quote(F.col("optimal_rate_daily"), F.col("realized_vol_24h"), F.col("leverage"))
-    return round_doubles(cur.select("asset", "bar_ts", "leverage", F.col("optimal_rate_daily").alias("base_rate_daily"),
-                                    *[v.alias(k) for k, v in qv.items()]), 12)
+    return cur.select("asset", "bar_ts", "leverage", F.col("optimal_rate_daily").alias("base_rate_daily"),
+                      *[v.alias(k) for k, v in qv.items()])
+
+
+def q_b5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B5 + B3 + B4 + B6 + C10 + J16: rate table by leverage for the latest
+    bar of each asset."""
+    return round_doubles(latest_quotes(spark, sf_dir), 12)
 
 
 def trade_requests(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -90,11 +97,13 @@ def q_b7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_b9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Outcome distribution of 24-bar holds per asset and leverage."""
+    """Outcome distribution of 24-bar holds per asset, leverage and side, at
+    the rates quoted for the asset's latest bar."""
     bars = hourly_bars(spark, sf_dir)
     w = Window.partitionBy("asset").orderBy("bar_ts")
     bars = bars.withColumn("fwd_ret", F.lead("close", DURATION).over(w) / F.col("close") - 1)
-    return round_doubles(L.outcome_distribution(bars, ["asset"], DURATION, L.LEVERAGE_LEVELS), 6)
+    rates = latest_quotes(spark, sf_dir).select("asset", "leverage", F.col("final_rate_hourly").alias("rate_hourly"))
+    return round_doubles(L.outcome_distribution(bars, rates, ["asset"], DURATION, COLLATERAL), 6, {"breakeven_price_change": 12})
 
 
 # --- DuckDB oracles ---------------------------------------------------------
@@ -157,13 +166,14 @@ def _quote_sql(base: str, vol: str, lev: str) -> str:
 
 
 _LEVS = ", ".join(repr(x) for x in L.LEVERAGE_LEVELS)
-SQL_B5 = sql_round_select(f"""
+SQL_QUOTES = f"""
 WITH s AS ({_STATES}), o AS ({SQL_OPT}),
 l AS (SELECT asset, max(bar_ts) AS bar_ts FROM s GROUP BY 1),
 c AS (SELECT l.asset, l.bar_ts, s.realized_vol_24h, o.optimal_rate_daily, unnest([{_LEVS}]) AS leverage
       FROM l JOIN s USING (asset, bar_ts) JOIN o USING (asset, bar_ts))
 SELECT asset, bar_ts, leverage, optimal_rate_daily AS base_rate_daily,
-       {_quote_sql('optimal_rate_daily', 'realized_vol_24h', 'leverage')} FROM c""",
+       {_quote_sql('optimal_rate_daily', 'realized_vol_24h', 'leverage')} FROM c"""
+SQL_B5 = sql_round_select(SQL_QUOTES,
     ["asset", "bar_ts", "volatility_regime"],
     ["leverage", "base_rate_daily", "predicted_volatility_24h", "volatility_premium_daily", "final_rate_daily",
      "final_rate_annualized", "final_rate_hourly", "rate_lower_80", "rate_upper_80", "vol_lower_80", "vol_upper_80"], 12)
@@ -225,20 +235,21 @@ SQL_B7 = sql_round_select(_b7_sql(),
      "liquidation_price_threshold", "maintenance_margin", "actual_volatility_realized", "interest_charged",
      "liquidation_price", "exit_price", "trader_pnl", "lender_revenue", "liquidation_fee"], 9)
 
-_LEV9 = ", ".join(repr(float(x)) for x in L.LEVERAGE_LEVELS)
 SQL_B9 = sql_round_select(f"""
-WITH b AS ({SQL_BARS}),
+WITH b AS ({SQL_BARS}), r AS ({SQL_QUOTES}),
 f AS (SELECT asset, lead(close, {DURATION}) OVER (PARTITION BY asset ORDER BY bar_ts) / close - 1 AS fwd_ret FROM b),
-d AS (SELECT asset, fwd_ret, unnest([{_LEV9}]) AS leverage FROM f WHERE fwd_ret IS NOT NULL),
-e AS (SELECT *, fwd_ret <= -(1.0 / leverage) AS liq,
-             CASE WHEN fwd_ret <= -(1.0 / leverage) THEN -{COLLATERAL} ELSE leverage * {COLLATERAL} * fwd_ret END AS pnl FROM d)
-SELECT asset, leverage, count(*) AS paths, avg(CAST(liq AS DOUBLE)) AS liquidation_probability, avg(pnl) AS mean_pnl,
+d AS (SELECT f.asset, leverage, final_rate_hourly AS rate, unnest(['long', 'short']) AS position, fwd_ret
+      FROM f JOIN r USING (asset) WHERE fwd_ret IS NOT NULL),
+x AS (SELECT *, CASE position WHEN 'long' THEN fwd_ret ELSE -fwd_ret END AS away FROM d),
+e AS (SELECT *, away <= -(1.0 / leverage) AS liq, CASE WHEN away <= -(1.0 / leverage) THEN -{COLLATERAL}
+             ELSE leverage * {COLLATERAL} * away - rate * {DURATION} * (leverage * {COLLATERAL}) END AS pnl FROM x)
+SELECT asset, leverage, position, count(*) AS paths, avg(CAST(liq AS DOUBLE)) AS liquidation_probability, avg(pnl) AS expected_pnl,
   quantile_cont(pnl, 0.05) AS pnl_p5, quantile_cont(pnl, 0.25) AS pnl_p25, quantile_cont(pnl, 0.5) AS pnl_p50,
   quantile_cont(pnl, 0.75) AS pnl_p75, quantile_cont(pnl, 0.95) AS pnl_p95,
-  avg(CAST(pnl >= 0 AS DOUBLE)) AS break_even_share
-FROM e GROUP BY 1, 2""", ["asset", "paths"],
-    ["leverage", "liquidation_probability", "mean_pnl", "pnl_p5", "pnl_p25", "pnl_p50", "pnl_p75", "pnl_p95",
-     "break_even_share"])
+  max(rate * {DURATION} * (leverage * {COLLATERAL})) AS total_interest_expected, max(rate * {DURATION}) AS breakeven_price_change
+FROM e GROUP BY 1, 2, 3""", ["asset", "position", "paths"],
+    ["leverage", "liquidation_probability", "expected_pnl", "pnl_p5", "pnl_p25", "pnl_p50", "pnl_p75", "pnl_p95",
+     "total_interest_expected", "breakeven_price_change"], 6, {"breakeven_price_change": 12})
 
 QUERIES = {"b1": q_b1, "b2": q_b2, "b5": q_b5, "b7": q_b7, "b9": q_b9}
 ORACLE = {"b1": SQL_B1, "b2": SQL_B2, "b5": SQL_B5, "b7": SQL_B7, "b9": SQL_B9}

@@ -51,13 +51,13 @@ def q_b13(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fixed_stake(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = realised(spark, sf_dir).filter(F.col("entry_date").isNotNull())
+    t = realised(spark, sf_dir).filter(F.col("entry_date").isNotNull()).withColumn("signal", (F.col("signal") == 1).cast("int"))
     return BT.fixed_stake_equity(t, ["horizon"], ["entry_date", "signal_id"], "long_return", "signal",
                                  bucket=day_number("entry_date"))
 
 
-def q_b14(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B14 + B12: fixed-stake equity per horizon, rebased to 10,000."""
+def q_b14_horizons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B12 on a fixed-stake ledger of long signals per horizon, rebased to 10,000."""
     eq = materialize(_fixed_stake(spark, sf_dir))
     eq = eq.withColumn("_o", F.struct("entry_date", "signal_id"))
     out = BT.rebase(eq, ["horizon"], "_o", "equity").drop("_o")
@@ -107,10 +107,10 @@ SQL_B10 = sql_round_select(SQL_REALISED, ["signal_id", "ticker", "transaction_da
                            ["pred", "entry_price", "exit_price", "long_return", "short_return"],
                            dates=["transaction_date", "entry_date", "exit_date"])
 
-SQL_B14 = sql_round_select(f"""
+SQL_B14_HORIZONS = sql_round_select(f"""
 WITH r AS ({SQL_REALISED}),
 f AS (SELECT signal_id, horizon, entry_date,
-             CAST(floor(coalesce(1000.0 * (long_return - 0.002) * signal, 0.0) * 1000000 + 0.5) AS BIGINT) AS micro
+             CAST(floor(coalesce(1000.0 * (long_return - 0.002) * CAST(signal = 1 AS INTEGER), 0.0) * 1000000 + 0.5) AS BIGINT) AS micro
       FROM r WHERE entry_date IS NOT NULL),
 g AS (SELECT signal_id, horizon, entry_date, micro / 1000000 AS pnl,
              10000.0 + sum(micro) OVER (PARTITION BY horizon ORDER BY entry_date, signal_id
@@ -131,5 +131,5 @@ SQL_B18 = sql_round_select(f"""
 SELECT *, lead(close, {BENCH_ROWS}) OVER (PARTITION BY ticker ORDER BY date) / close - 1 AS fwd_return_21
 FROM ({SQL_PX}) p""", ["ticker", "date"], ["open", "close", "fwd_return_21"], dates=["date"])
 
-QUERIES = {"b10": q_b10, "b11": q_b11, "b13": q_b13, "b14": q_b14, "b16": q_b16, "b18": q_b18}
-ORACLE = {"b10": SQL_B10, "b14": SQL_B14, "b16": SQL_B16, "b18": SQL_B18}
+QUERIES = {"b10": q_b10, "b11": q_b11, "b13": q_b13, "b14_horizons": q_b14_horizons, "b16": q_b16, "b18": q_b18}
+ORACLE = {"b10": SQL_B10, "b14_horizons": SQL_B14_HORIZONS, "b16": SQL_B16, "b18": SQL_B18}
