@@ -1,17 +1,14 @@
-"""Model selection and diagnostics jobs (E6, E7, E10, M4, M10, M11, M13, V7, V11). Rows-only checks: these fit models."""
+"""Model selection and diagnostics jobs (E6, E7, E10, M10, V7, V11). Rows-only checks: these fit models."""
 
 from __future__ import annotations
 
-import math
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quantspark.operators import evaluation as EV
 from quantspark.operators import models as M
-from quantspark.operators.ordered import rolling
-from quantspark.plans.common import round_doubles
 from quantspark.plans.models import FEATURES, _split_features
 from quantspark.session import materialize
 
@@ -94,34 +91,5 @@ def q_m10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cmp.withColumn("is_best", F.col("setting") == best).orderBy("cv_rmse")
 
 
-def q_m11(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M11 + M13 + M4: HAR regression (multi-horizon means of realised
-    volatility), batch scoring of a request table with a confidence score
-    1 / (1 + mae / (|p| + 1e-9)), and permutation importance of each HAR
-    term (a column shuffled by a seeded hash order, RMSE increase)."""
-    f = _split_features(spark, sf_dir)
-    w = Window.partitionBy("asset").orderBy("bar_ts")
-    f = f.select("*", *[rolling(F.avg, "realized_vol_24h", w, n).alias(f"har_{n}") for n in HAR_WINDOWS])
-    har = [f"har_{n}" for n in HAR_WINDOWS]
-    f = materialize(f.dropna(subset=har))
-    train, test = f.filter(F.col("split") == "train"), f.filter(F.col("split") == "test")
-    model = M.pipeline(har, M.regressor("ridge", "target_vol_24h", n_rows=None), scale=False).fit(train)
-    scored = model.transform(test)
-    mae = EV.regression_metrics(scored, [], "target_vol_24h", "prediction").first()["mae"]
-    base = EV.regression_metrics(scored, [], "target_vol_24h", "prediction").first()["rmse"]
-    out = [("baseline", base, None, mae)]
-    for c in har:
-        # permute one column: pair each row with the value of the row at the
-        # same rank of a seeded hash order
-        r1 = test.withColumn("_r", F.row_number().over(Window.orderBy("asset", "bar_ts")))
-        r2 = test.select(F.col(c).alias("_perm"), F.row_number().over(Window.orderBy(F.xxhash64("asset", "bar_ts", F.lit(7)))).alias("_r"))
-        perm = r1.join(r2, "_r").drop(c).withColumnRenamed("_perm", c)
-        rm = EV.regression_metrics(model.transform(perm), [], "target_vol_24h", "prediction").first()["rmse"]
-        out.append((c, rm, rm - base, None))
-    conf = scored.select(F.avg(1 / (1 + mae / (F.abs("prediction") + 1e-9))).alias("c")).first()["c"]
-    out.append(("mean_confidence", conf, None, None))
-    return spark.createDataFrame(out, "item string, rmse double, rmse_increase double, mae double")
-
-
-QUERIES = {"e6": q_e6, "m10": q_m10, "m11": q_m11}
+QUERIES = {"e6": q_e6, "m10": q_m10}
 ORACLE: dict[str, str] = {}
