@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("crypto", "insider", "signals", "panel", "zip", "lending", "evaluation", "models", "streaming", "pairs", "portfolio", "reports", "files", "strategies", "geo", "selection", "lookups", "sampling", "extras", "factors", "clusters", "latest", "homevalues", "scoring")
+MODULES = ("crypto", "insider", "signals", "panel", "zip", "lending", "evaluation", "models", "streaming", "pairs", "portfolio", "reports", "files", "strategies", "geo", "selection", "lookups", "sampling", "extras", "factors", "clusters", "latest", "homevalues", "scoring", "forecasts")
 
 
 def _collect(attr: str) -> dict:
