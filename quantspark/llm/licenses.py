@@ -10,7 +10,10 @@ neighbouring diagonal). A merged run is verified: every key phrase of the templa
 (the words that tell it from its relatives) must stand in one diagonal's hits
 word by word; the template's words that the hits cover, over its size and the words
 put in between them, must reach ``COVER``; and the span may not be longer than
-``STRETCH`` times the template. Verified spans are taken by most words covered
+``STRETCH`` times the template. A longer run is split: its diagonals with fewer than
+a ``WEAK``-th of the strongest one's votes (a passage said over and over beside the
+notice) are merged apart from the others, and what is still too long stands as
+single diagonals, none of which is longer than the template. Verified spans are taken by most words covered
 (then best cover, then name), and one that overlaps a span taken before is dropped.
 
 Places of the base phrases are counted from the same word list.
@@ -30,7 +33,7 @@ from pyspark.sql import functions as F
 
 from quantspark.llm.common import read, stage
 
-GRAM, SLACK, COVER, STRETCH = 3, 3, 0.7, 1.6
+GRAM, SLACK, COVER, STRETCH, WEAK = 3, 3, 0.7, 1.6, 4
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # Base phrases and the notices of public licenses.
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
@@ -143,6 +146,23 @@ for _version in ("1 0", "2 0", "2 5", "3 0", "4 0"):
     _creative_commons(_version)
 
 
+def _short(label: str, *texts: str) -> None:
+    for i, text in enumerate((*texts, f"spdx license identifier {label.replace('.', ' ').replace('-', ' ')}")):
+        TEMPLATES[f"{label}/short{i}"], KEYS[f"{label}/short{i}"] = text, (text,)
+
+
+_short("apache-2.0", "apache license 2 0", "apache 2 0 license", "under apache 2 0", "under the apache 2 0")
+_short("mit")
+_short("bsd-2-clause", "bsd 2 clause license")
+_short("bsd-3-clause", "bsd 3 clause license")
+_short("mpl-2.0", "mozilla public license 2 0", "mozilla public license version 2 0")
+for _label in ("gpl-2.0", "gpl-3.0", "agpl-3.0", "lgpl-2.1", "lgpl-3.0"):
+    _name, _number = _label.split("-")
+    _version = _number.removesuffix(".0").replace(".", " ")
+    _short(_label, f"under the {_name}v{_version}", f"licensed under {_name}v{_version}", f"under {_name} {_number.replace('.', ' ')}",
+           f"under the {_name} {_number.replace('.', ' ')}")
+
+
 def words_of(text: Column) -> Column:
     # lower() also maps U+212A and U+0130 to letters a-z; they stay apart here
     plain = F.replace(F.replace(F.coalesce(text, F.lit("")), F.lit("K"), F.lit("�")), F.lit("İ"), F.lit("�"))
@@ -229,8 +249,18 @@ def spans(found: DataFrame) -> DataFrame:
     def words(grams: Column | str) -> Column:
         return F.size(F.array_distinct(F.flatten(F.transform(grams, lambda p: F.sequence(p, p + (GRAM - 1))))))
 
-    merged = (votes.withColumn("new", apart).withColumn("run", F.sum("new").over(order))
-              .groupBy("row", "template", "run", "size", F.size("keys").alias("n_keys"))
+    def too_long(*keys: str) -> Column:
+        w = Window.partitionBy("row", "template", *keys)
+        return F.max("last").over(w) + GRAM - F.min("first").over(w) > F.ceil(F.col("size") * STRETCH)
+
+    runs = votes.withColumn("new", apart).withColumn("run", F.sum("new").over(order)).withColumn("long", too_long("run"))
+    top = F.max("votes").over(Window.partitionBy("row", "template", "run"))
+    runs = runs.withColumn("weak", F.col("long") & (F.col("votes") * WEAK < top))
+    within = Window.partitionBy("row", "template", "run", "weak").orderBy("diagonal")
+    apart = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(within) > SLACK, F.lit(True)).cast("int")
+    parts = runs.withColumn("new", apart).withColumn("part", F.sum("new").over(within))
+    parts = parts.withColumn("alone", F.when(too_long("run", "weak", "part"), F.col("diagonal")))
+    merged = (parts.groupBy("row", "template", "run", "weak", "part", "alone", "size", F.size("keys").alias("n_keys"))
               .agg(F.sum("votes").alias("votes"), F.min("first").alias("first"), (F.max("last") + GRAM).alias("end"),
                    all_of("tpos").alias("tpos"), all_of("held").alias("held"),
                    all_of(F.transform("tpos", lambda p: p + F.col("diagonal"))).alias("pos")))

@@ -159,6 +159,23 @@ def _whole_notices(words):
     return {m[1].split("/")[0] for m in kept}
 
 
+@pytest.mark.parametrize("before, between, after", [
+    ("permission is hereby " * 10, "", ""), ("", "", " permission is hereby" * 40), ("permission is hereby " * 25, " kindly", " is hereby granted" * 9)])
+def test_license_runs_that_are_too_long_keep_their_label(spark, before, between, after):
+    for name, label in (("mit-text", "mit-text"), ("bsd-2-clause", "bsd-2-clause")):
+        words = licenses.TEMPLATES[name].split()
+        text = before + " ".join(words[:len(words) // 2]) + between + " " + " ".join(words[len(words) // 2:]) + after
+        assert label in licenses.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().templates
+
+
+@pytest.mark.parametrize("text, want", [
+    ("Apache License 2.0", "apache-2.0"), ("the Apache 2.0 license", "apache-2.0"), ("Licensed under Apache-2.0", "apache-2.0"),
+    ("released under the GPLv3", "gpl-3.0"), ("released under GPL-3.0", "gpl-3.0"), ("SPDX-License-Identifier: BSD-3-Clause", "bsd-3-clause"),
+    ("SPDX-License-Identifier: MIT", "mit"), ("under the GPLv3 " * 30, "gpl-3.0"), ("an apache 2 helicopter under repair", "")])
+def test_license_short_names(spark, text, want):
+    assert ",".join(licenses.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().templates) == want
+
+
 def test_license_labels_by_brute_force(spark):
     rng = random.Random(3)
     names = sorted(licenses.TEMPLATES)
