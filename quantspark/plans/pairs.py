@@ -53,18 +53,20 @@ def pair_features(spark: SparkSession, sf_dir: str, drop_undefined: bool = True)
     h = hourly_close(spark, sf_dir)
     coin, btc = overlap_crop(_series(h, COIN, "close"), _series(h, BTC, "btc_close"))
     m = coin.join(btc, "bar_ts", "inner")
-    w = Window.orderBy("bar_ts")
-    m = m.select("*", (F.ln("close") - F.ln(F.lag("close", 1).over(w))).alias("coin_ret_1h"),
-                 (F.ln("btc_close") - F.ln(F.lag("btc_close", 1).over(w))).alias("btc_ret_1h"),
-                 (F.ln(F.lead("close", HORIZON).over(w)) - F.ln("close")).alias("future_ret_H"))
-    m = m.select("*", *[F.lag("coin_ret_1h", k).over(w).alias(f"coin_ret_lag_{k}") for k in (1, 2, 3)],
-                 *[F.lag("btc_ret_1h", k).over(w).alias(f"btc_ret_lag_{k}") for k in (1, 2)],
-                 rolling(F.stddev_samp, "coin_ret_1h", w, 6).alias("coin_vol_6h"),
-                 rolling(F.stddev_samp, "btc_ret_1h", w, 6).alias("btc_vol_6h"),
-                 (F.col("coin_ret_1h") - F.col("btc_ret_1h")).alias("coin_minus_btc"),
-                 F.abs("future_ret_H").alias("future_abs_ret_H"))
-    # Rolling median over ROWS frames via percentile (median() rejects frames)
-    m = m.withColumn("move_threshold_H", rolling(lambda c: F.percentile(c, 0.5), "future_abs_ret_H", w, THRESHOLD_WINDOW))
+    # one long series: windows in chunks of its rows, none over the whole table
+    m = ordered_select(m, [], ["bar_ts"], [
+        lambda w: [(F.ln("close") - F.ln(F.lag("close", 1).over(w))).alias("coin_ret_1h"),
+                   (F.ln("btc_close") - F.ln(F.lag("btc_close", 1).over(w))).alias("btc_ret_1h"),
+                   (F.ln(F.lead("close", HORIZON).over(w)) - F.ln("close")).alias("future_ret_H")],
+        lambda w: [*[F.lag("coin_ret_1h", k).over(w).alias(f"coin_ret_lag_{k}") for k in (1, 2, 3)],
+                   *[F.lag("btc_ret_1h", k).over(w).alias(f"btc_ret_lag_{k}") for k in (1, 2)],
+                   rolling(F.stddev_samp, "coin_ret_1h", w, 6).alias("coin_vol_6h"),
+                   rolling(F.stddev_samp, "btc_ret_1h", w, 6).alias("btc_vol_6h"),
+                   (F.col("coin_ret_1h") - F.col("btc_ret_1h")).alias("coin_minus_btc"),
+                   F.abs("future_ret_H").alias("future_abs_ret_H")],
+        # Rolling median over ROWS frames via percentile (median() rejects frames)
+        lambda w: [rolling(lambda c: F.percentile(c, 0.5), "future_abs_ret_H", w, THRESHOLD_WINDOW).alias("move_threshold_H")],
+    ], back=THRESHOLD_WINDOW + 6 + 1, fwd=HORIZON, chunk_rows=CHUNK_ROWS, bucket=day_number("bar_ts"))
     m = m.withColumn("y_large_move", F.when(F.col("move_threshold_H").isNotNull(),
                                             (F.col("future_abs_ret_H") > F.col("move_threshold_H")).cast("int")))
     feats = ["coin_ret_1h", "coin_ret_lag_1", "coin_ret_lag_2", "coin_ret_lag_3", "btc_ret_1h", "btc_ret_lag_1",

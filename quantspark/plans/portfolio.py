@@ -112,6 +112,37 @@ def q_b23(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.stddev_samp("ret").alias("volatility"), F.max("date").alias("latest_date")))
 
 
+def q_b23_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per position its start value (the amount put in), its value at the last
+    close, total return and percent change (null for an empty position)."""
+    px = filled_prices(spark, sf_dir)
+    ends = px.groupBy("ticker").agg(F.min_by("close", "date").alias("first_close"), F.max_by("close", "date").alias("last_close"))
+    p = positions(spark, sf_dir).join(ends, "ticker")
+    end = F.col("last_close") * (F.col("amount") / F.col("first_close"))
+    return round_doubles(p.select("portfolio", "ticker", F.col("amount").alias("start_value"), end.alias("end_value"),
+                                  (end - F.col("amount")).alias("total_return"),
+                                  F.try_divide(end - F.col("amount"), F.col("amount")).alias("percent_change")), 4)
+
+
+def latest_in_window(rows: DataFrame, keys: list[str], date: str, order: list[str], start: str, end: str) -> DataFrame:
+    """Per key its latest row inside [start, end], else its latest row at all, as one
+    aggregate; ``in_window`` tells which. Ties go to the larger ``order``; rows without a date
+    count as the earliest."""
+    inside = F.coalesce(F.col(date).between(F.lit(start).cast("date"), F.lit(end).cast("date")), F.lit(False))
+    others = [c for c in rows.columns if c not in keys]
+    row = F.struct(inside.alias("in_window"), *others)
+    return rows.groupBy(*keys).agg(F.max_by(row, F.struct(inside, F.col(date), *order)).alias("_r")).select(*keys, "_r.*")
+
+
+A16_WINDOW = ("2000-01-01", "2000-03-31")
+
+
+def q_a16(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer's latest order of the quarter, else the latest of all."""
+    o = table(spark, sf_dir, "orders").select("o_custkey", F.to_date("o_orderdate").alias("date"), "o_orderkey", "o_totalprice")
+    return round_doubles(latest_in_window(o, ["o_custkey"], "date", ["o_orderkey"], *A16_WINDOW), 2)
+
+
 def smoothing_forecasts(values: DataFrame, key: str, order: str, value: str, horizon: int = 5) -> DataFrame:
     """B24 + B25: simple exponential smoothing at fixed alphas and at the
     SSE-best alpha of a grid, Holt's linear trend at fixed weights, and Holt's
@@ -231,5 +262,19 @@ SELECT ticker, arg_min(close, date) AS start_close, arg_max(close, date) AS end_
   stddev_samp(ret) AS volatility, max(date) AS latest_date FROM r GROUP BY 1""",
     ["ticker", "latest_date"], ["start_close", "end_close", "percent_change", "volatility"], dates=["latest_date"])
 
-QUERIES = {"b21": q_b21, "b22": q_b22, "b23": q_b23, "b24": q_b24}
-ORACLE = {"b21": SQL_B21, "b22": SQL_B22, "b23": SQL_B23}
+SQL_B23_POSITIONS = sql_round_select(f"""
+WITH pos AS (SELECT c_mktsegment AS portfolio, list_extract({_TICK_ARR}, CAST(c_nationkey % {len(TICKERS)} + 1 AS INTEGER)) AS ticker,
+                    sum(abs(c_acctbal)) AS amount FROM customer GROUP BY 1, 2),
+e AS (SELECT ticker, arg_min(close, date) AS first_close, arg_max(close, date) AS last_close FROM ({SQL_FILLED}) x GROUP BY 1),
+v AS (SELECT portfolio, ticker, amount AS start_value, last_close * (amount / first_close) AS end_value FROM pos JOIN e USING (ticker))
+SELECT *, end_value - start_value AS total_return, (end_value - start_value) / nullif(start_value, 0) AS percent_change FROM v""",
+    ["portfolio", "ticker"], ["start_value", "end_value", "total_return", "percent_change"], 4)
+
+SQL_A16 = sql_round_select(f"""
+SELECT DISTINCT ON (o_custkey) o_custkey, CAST(o_orderdate AS DATE) BETWEEN DATE '{A16_WINDOW[0]}' AND DATE '{A16_WINDOW[1]}' AS in_window,
+  CAST(o_orderdate AS DATE) AS date, o_orderkey, o_totalprice
+FROM orders ORDER BY o_custkey, in_window DESC, date DESC, o_orderkey DESC""",
+    ["o_custkey", "in_window", "date", "o_orderkey"], ["o_totalprice"], 2, dates=["date"])
+
+QUERIES = {"a16": q_a16, "b23_positions": q_b23_positions, "b21": q_b21, "b22": q_b22, "b23": q_b23, "b24": q_b24}
+ORACLE = {"a16": SQL_A16, "b23_positions": SQL_B23_POSITIONS, "b21": SQL_B21, "b22": SQL_B22, "b23": SQL_B23}
