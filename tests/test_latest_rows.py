@@ -17,6 +17,6 @@ def test_latest_in_window(spark):
 
 def test_pair_features_do_not_depend_on_chunks(spark, monkeypatch):
     from quantspark.plans import pairs
-    plain = sorted(map(str, pairs.pair_features(spark, "/root/testdata/sf0.001").collect()))
-    monkeypatch.setattr(pairs, "CHUNK_ROWS", 40)
-    assert plain and sorted(map(str, pairs.pair_features(spark, "/root/testdata/sf0.001").collect())) == plain
+    plain = sorted(map(str, pairs.pair_features(spark, "/root/testdata/sf0.01").collect()))
+    monkeypatch.setattr(pairs, "CHUNK_ROWS", 80)
+    assert plain and sorted(map(str, pairs.pair_features(spark, "/root/testdata/sf0.01").collect())) == plain
