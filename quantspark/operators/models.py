@@ -20,10 +20,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def regressor(kind: str, label: str, seed: int = 42, n_rows: int | None = None):
+def regressor(kind: str, label: str, seed: int = 42, n_rows: int | None = None, weight: str | None = None):
     if kind == "gbt":          # M1 (LightGBM / XGBoost stand-in)
+        kw = {"weightCol": weight} if weight else {}
         return GBTRegressor(labelCol=label, featuresCol="features", maxDepth=4, maxIter=50, stepSize=0.05,
-                            subsamplingRate=0.8, seed=seed)
+                            subsamplingRate=0.8, seed=seed, **kw)
     if kind == "rf":           # M2
         return RandomForestRegressor(labelCol=label, featuresCol="features", numTrees=50, maxDepth=8, seed=seed)
     if kind == "ridge":        # M3: sklearn alpha=10 is summed, MLlib regParam is averaged

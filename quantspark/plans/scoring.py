@@ -17,6 +17,7 @@ from quantspark.functions import clean as C
 from quantspark.operators import backtest as BT
 from quantspark.operators import evaluation as EV
 from quantspark.operators import models as M
+from quantspark.operators.events import join_null_safe
 from quantspark.operators.ordered import rolling
 from quantspark.operators.permutation import permutation_importance
 from quantspark.operators.scoring import Registry, fit_bundle, score_requests
@@ -25,7 +26,7 @@ from quantspark.plans.insider import raw_trades
 from quantspark.plans.models import _split_features
 from quantspark.plans.selection import HAR_WINDOWS
 from quantspark.plans.zip import SQL_PRICING, pricing
-from quantspark.session import ensure_checkpoint_dir, materialize
+from quantspark.session import ensure_checkpoint_dir, materialize, write_once
 from quantspark.sources.tables import table
 
 HORIZONS = BT.HORIZONS_DAYS
@@ -39,12 +40,14 @@ OTHER_LABEL = "Adequately Priced"
 
 def ticker_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(ticker, date, open, close): calendar-bounded daily prices."""
-    li = table(spark, sf_dir, "lineitem")
-    o = table(spark, sf_dir, "orders")
-    j = li.join(o, li.l_orderkey == o.o_orderkey)
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity", F.to_date("l_shipdate").alias("date"))
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderpriority").alias("ticker"))
+    # a day's first and last order are longs, hashed over all items; only their items are put in order
+    ends = li.join(o, li.l_orderkey == o.o_orderkey).groupBy("ticker", "date").agg(F.min("l_orderkey").alias("_lo"), F.max("l_orderkey").alias("_hi"))
+    ends = ends.select("ticker", F.col("date").alias("_day"), F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_order"))
+    j = li.join(ends, (li.l_orderkey == ends._order) & li.date.eqNullSafe(ends._day))
     price, order = F.col("l_extendedprice") / F.col("l_quantity"), F.struct("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity")
-    return j.groupBy(F.col("o_orderpriority").alias("ticker"), F.to_date("l_shipdate").alias("date")).agg(
-        F.min_by(price, order).alias("open"), F.max_by(price, order).alias("close"))
+    return j.groupBy("ticker", "date").agg(F.min_by(price, order).alias("open"), F.max_by(price, order).alias("close"))
 
 
 def horizon_returns(spark: SparkSession, sf_dir: str, horizons=HORIZONS) -> DataFrame:
@@ -84,13 +87,26 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         C.money("held_text").alias("shares_held"), C.percent_fraction("owned_text").alias("owned"), C.money("value_text").alias("value"))
 
 
+def horizon_labels(spark: SparkSession, sf_dir: str, horizons=HORIZONS) -> DataFrame:
+    """B10 + E9 as labels: (trade_id, and for each horizon h ``{h}_ret``, the long return, and
+    ``{h}_exit``). They follow from ticker and day, so the look-up is done and pivoted on
+    the days with trades, bounded by the calendar, and joined once to the trades."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("trade_id"), F.col("o_orderpriority").alias("ticker"),
+                                              F.to_date("o_orderdate").alias("transaction_date"))
+    prices = write_once(ticker_prices(spark, sf_dir), "ticker-prices")
+    days = o.select("ticker", "transaction_date").distinct().withColumn("pred", F.lit(0.0))
+    r = BT.signal_returns(BT.unpivot_horizons(days, {h: "pred" for h in horizons}, ["ticker", "transaction_date"]), prices)
+    wide = write_once(r.groupBy("ticker", "transaction_date").pivot("horizon", list(horizons)).agg(
+        F.first("long_return").alias("ret"), F.first("exit_date").alias("exit")), "day-labels")
+    columns = [f"{h}_{c}" for h in horizons for c in ("ret", "exit")]
+    t = join_null_safe(o, wide, ["ticker", "transaction_date"], *columns)
+    return t.groupBy("trade_id").agg(*[F.first(c).alias(c) for c in columns])
+
+
 def train_bundles(spark: SparkSession, sf_dir: str, registry: Registry, horizons=HORIZONS, kind: str = "gbt") -> None:
     """One bundle per horizon, fitted on the trades whose horizon ends before the cut
     and measured on those after it."""
-    t = requests(spark, sf_dir)
-    labels = horizon_returns(spark, sf_dir, horizons).select("trade_id", "horizon", "long_return", "exit_date")
-    t = materialize(t.join(labels.groupBy("trade_id").pivot("horizon", list(horizons)).agg(
-        F.first("long_return").alias("ret"), F.first("exit_date").alias("exit")), "trade_id"))
+    t = write_once(requests(spark, sf_dir).join(horizon_labels(spark, sf_dir, horizons), "trade_id"), "labelled")
     cut = F.lit(TRAIN_UNTIL).cast("date")
 
     def fit(h: int) -> None:
@@ -107,7 +123,7 @@ def q_m11(spark: SparkSession, sf_dir: str) -> DataFrame:
     registry = Registry(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/models-{uuid.uuid4().hex}")
     train_bundles(spark, sf_dir, registry)
     asked = requests(spark, sf_dir).filter(F.col("trade_date") >= F.lit(TRAIN_UNTIL).cast("date"))
-    return score_requests(asked, registry, {f"{h}d": f"return_{h}d" for h in HORIZONS}, ["trade_id", "ticker"])
+    return score_requests(write_once(asked, "asked"), registry, {f"{h}d": f"return_{h}d" for h in HORIZONS}, ["trade_id", "ticker"])
 
 
 def har_table(spark: SparkSession, sf_dir: str, windows=(24, 168, 720)) -> DataFrame:

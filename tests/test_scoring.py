@@ -4,9 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from quantspark.operators import models as M
+from quantspark.operators import scoring
 from quantspark.operators.permutation import permutation_importance, shuffled
 from quantspark.operators.scoring import Registry, fit_bundle, score_requests
-from quantspark.plans.scoring import horizon_summary, look_up
+from quantspark.plans.scoring import horizon_labels, horizon_returns, horizon_summary, look_up, ticker_prices
+from quantspark.session import write_once
 
 
 def test_every_repeat_is_a_permutation(spark):
@@ -89,3 +91,50 @@ def test_wide_report_has_a_row_over_all_tickers(spark):
     got = {r.ticker: r for r in horizon_summary(df).collect()}
     assert (got["A"].trades_30d, got["A"].win_rate_30d, got["A"].trades_60d, got["A"].avg_return_60d) == (2, 0.5, 0, None)
     assert got[None].is_total == 1 and got[None].trades_30d == 3 and got[None].avg_return_30d == pytest.approx(0.1)
+
+
+def test_boosted_trees_are_fitted_on_cells_beyond_a_bound(spark, monkeypatch):
+    """Few bins: cells stand for all rows, and give the trees that the rows give."""
+    df = spark.range(6000).select(F.concat(F.lit("T"), F.col("id") % 3).alias("ticker"), F.element_at(F.array(*map(F.lit, "PSX")), (F.col("id") % 3 + 1).cast("int")).alias("kind"),
+                                  (F.col("id") % 20).cast("double").alias("price"), F.when(F.col("id") % 7 > 0, F.floor(F.rand(3) * 5000).cast("double")).alias("qty"))
+    df = write_once(df.withColumn("y", F.when(F.col("price") > 9, 2.0).otherwise(-1.0) + F.coalesce(F.col("qty"), F.lit(0.0)) / 5000 + F.rand(5)), "rows")
+    sizes, cells = [], scoring.materialize
+    monkeypatch.setattr(scoring, "materialize", lambda d: sizes.append(cells(d)) or sizes[-1])
+    bundles = []
+    for bound in (1 << 19, 2000):
+        monkeypatch.setattr(scoring, "CELLS", bound)
+        bundles.append(fit_bundle(df, df, "y", "ticker", "kind", ["price", "qty"]))
+    assert bundles[0][2].levels == bundles[1][2].levels == ["S", "X"]
+    got = sizes[-1]
+    assert "_rows" in got.columns and got.count() < 5000
+    assert got.agg(F.sum("_rows")).first()[0] == 6000  # no row is left out
+    assert got.agg(F.sum(F.col("y") * F.col("_rows"))).first()[0] == pytest.approx(df.agg(F.sum("y")).first()[0], rel=1e-9)
+    assert bundles[1][2].mae == pytest.approx(bundles[0][2].mae, rel=0.03)
+
+
+def test_bins_part_all_values_or_quantiles(spark):
+    df = spark.range(10000).select((F.col("id") % 3).cast("double").alias("few"), F.col("id").cast("double").alias("many"), F.lit(1.0).alias("one"))
+    few, many, one = scoring.bin_edges(df, ["few", "many", "one"])
+    assert few == [0.5, 1.5] and one == [] and len(many) == 31
+    assert all(abs(e - 10000 * (i + 1) / 32) < 10 for i, e in enumerate(many))
+
+
+def test_labels_of_trades_are_their_horizon_returns(spark, tmp_path):
+    """One look-up per ticker and day gives what the look-up per trade gave; prices as ordered over all items."""
+    day = "timestamp '2000-01-01' + make_dt_interval({})"
+    spark.range(400).selectExpr("id AS o_orderkey", "id % 40 AS o_custkey", "element_at(array('a', 'b', NULL), cast(id % 3 + 1 AS int)) AS o_orderpriority",
+                                f"if(id % 11 = 0, NULL, {day.format('cast(id % 90 AS int)')}) AS o_orderdate", "100.0 * id AS o_totalprice").union(
+        spark.range(1).selectExpr("7L", "7L", "'b'", day.format("7"), "700.0D")).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(1600).selectExpr("id % 400 AS l_orderkey", "cast(id % 2 AS int) AS l_linenumber", "1.0D + id % 13 AS l_quantity",
+                                 "10.0D + id % 101 AS l_extendedprice", f"if(id % 17 = 0, NULL, {day.format('cast(id % 150 AS int)')}) AS l_shipdate").write.parquet(f"{tmp_path}/lineitem.parquet")
+    li, o = (spark.read.parquet(f"{tmp_path}/{t}.parquet") for t in ("lineitem", "orders"))
+    price, order = F.col("l_extendedprice") / F.col("l_quantity"), F.struct("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity")
+    want = li.join(o, li.l_orderkey == o.o_orderkey).groupBy(F.col("o_orderpriority").alias("ticker"), F.to_date("l_shipdate").alias("date")).agg(
+        F.min_by(price, order).alias("open"), F.max_by(price, order).alias("close"))
+    got = ticker_prices(spark, str(tmp_path))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.filter("ticker IS NULL OR date IS NULL").count() > 0
+    per_trade = horizon_returns(spark, str(tmp_path)).groupBy("trade_id").pivot("horizon", [30, 60, 90]).agg(
+        F.first("long_return").alias("ret"), F.first("exit_date").alias("exit"))
+    labels = horizon_labels(spark, str(tmp_path))
+    assert labels.columns == per_trade.columns
+    assert sorted(map(str, labels.collect())) == sorted(map(str, per_trade.collect())) and labels.filter("`30_ret` IS NOT NULL").count() > 100
