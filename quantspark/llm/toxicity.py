@@ -28,11 +28,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quantspark.llm.common import byte_windows, fresh, read, stage, text_buffer, with_fields
+from quantspark.llm.common import byte_windows, fresh, read, scoped, stage, text_buffer, with_fields
 from quantspark.llm.wordhash import separator_table, word_hashes
 
 FOLDS = 5
-WINDOW_BYTES = 1 << 20
+WINDOW_BYTES = 1 << 18  # a window's temporaries take some fifty times as much
+BATCH_BYTES = 8 << 20
+# Batches between the JVM and the fit's tasks, both of which hold one whole.
+SMALL_BATCHES = {"execution__arrow__maxRecordsPerBatch": "1500", "execution__arrow__maxBytesPerBatch": "8m"}
 SEPARATORS = separator_table(bytes(c for c in range(128) if not chr(c).isalnum()))
 IDENTITY_TERMS = (
     ("women", "men"), ("woman", "man"), ("girls", "boys"), ("girl", "boy"), ("female", "male"),
@@ -189,13 +192,15 @@ def train(docs: DataFrame, labels: DataFrame, groups=IDENTITY_TERMS, sample_rows
     """Accelerated proximal gradient on mean log loss + l1 * w +
     counterfactual * mean squared logit change under the swaps, then once more
     with a fiftieth of ``l1`` over the words that kept a weight."""
-    features = stage(_features(_sample(docs, labels, sample_rows)), "features")
+    with scoped(docs.sparkSession, **SMALL_BATCHES):
+        features = stage(_features(_sample(docs, labels, sample_rows)), "features")
     often = (features.select(F.explode("words").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
              .filter(F.col("n") >= min_rows).select("h").toArrow().column("h").to_numpy())
     often = np.unique(often.astype(np.int64).view(np.uint64))
     a, b = _swaps(groups)
     vocab = np.unique(np.concatenate([often, a, b]))
-    got = _coded(features, vocab).toArrow()
+    with scoped(docs.sparkSession, **SMALL_BATCHES):
+        got = _coded(features, vocab).toArrow()
     y = got.column("toxic").to_numpy().astype(np.float64)
     if not len(y):
         return Model(np.zeros(0, np.uint64), np.zeros(0), -np.inf)
@@ -278,8 +283,11 @@ def add_scores(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
         maybe = np.zeros(1 << 20, bool)
         maybe[(model.hashes & np.uint64(0xFFFFF)).astype(np.int64)] = True
         for batch in batches:
-            scores = _scores(model, *text_buffer(batch.column(at)), maybe)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=[*batch.schema.names, name])
+            data, offs = text_buffer(batch.column(at))
+            # answered in pieces, so that the JVM holds no second whole batch
+            for i, j in byte_windows(offs, BATCH_BYTES):
+                scores = _scores(model, data, offs[i:j + 1], maybe)
+                yield pa.RecordBatch.from_arrays([*(c.slice(i, j - i) for c in batch.columns), pa.array(scores)], names=[*batch.schema.names, name])
 
     return docs.mapInArrow(run, schema)
 

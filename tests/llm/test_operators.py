@@ -643,3 +643,12 @@ def test_secret_cases(odd, empty):
     by = {r.doc_id: r for r in clean.collect()}
     assert clean.columns == odd.columns and by[9].text == "[SECRET] password: abc\nReleased under the MIT License."
     assert by[9].n_chars == len(by[9].text) and by[4].text == ODD[3][1]
+
+
+def test_toxicity_fit_runs_in_small_arrow_batches(spark, monkeypatch):
+    key, seen, stage = "spark.sql.execution.arrow.maxRecordsPerBatch", [], toxicity.stage
+    monkeypatch.setattr(toxicity, "stage", lambda df, name: seen.append(spark.conf.get(key)) or stage(df, name))
+    docs = spark.createDataFrame([(i, "you idiot" if i % 2 else "good day") for i in range(60)], "doc_id long, text string")
+    before = spark.conf.get(key)
+    toxicity.train(docs, docs.selectExpr("doc_id", "cast(doc_id % 2 AS int) AS toxic"))
+    assert seen == ["1500"] and spark.conf.get(key) == before
