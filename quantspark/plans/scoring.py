@@ -106,7 +106,7 @@ def horizon_labels(spark: SparkSession, sf_dir: str, horizons=HORIZONS) -> DataF
 def train_bundles(spark: SparkSession, sf_dir: str, registry: Registry, horizons=HORIZONS, kind: str = "gbt") -> None:
     """One bundle per horizon, fitted on the trades whose horizon ends before the cut
     and measured on those after it."""
-    t = write_once(requests(spark, sf_dir).join(horizon_labels(spark, sf_dir, horizons), "trade_id"), "labelled")
+    t = materialize(requests(spark, sf_dir).join(horizon_labels(spark, sf_dir, horizons), "trade_id"))
     cut = F.lit(TRAIN_UNTIL).cast("date")
 
     def fit(h: int) -> None:
