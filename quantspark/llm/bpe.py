@@ -49,6 +49,7 @@ BLOCK_WORDS = 1 << 20
 CACHE_WORDS, CACHE_BYTES = 3 << 18, 64
 BUCKETS = 1 << 14
 LONG = 48
+PROBED = 1 << 12  # code points at a time
 OPEN, CLOSE = "Ā", "ā"
 # The literal would be printed in full with every plan that the driver keeps.
 SHORT_PLANS = {"maxPlanStringLength": "20000"}
@@ -70,19 +71,27 @@ def _ranges(points: np.ndarray) -> str:
     return "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in zip(first, last))
 
 
+def _matched(probe, at: int) -> list[int]:
+    """Of ``PROBED`` code points from ``at`` on, those that the probe's pattern matches."""
+    text = "".join(chr(i) for i in range(at, at + PROBED) if not 0xD800 <= i < 0xE000)
+    return list(map(ord, bytes(probe.encode_ordinary(text)).decode()))
+
+
 @lru_cache(maxsize=1)
 def _newer(spark: SparkSession) -> dict[str, str]:
     """Code points that the tokenizer's library counts as \\p{L} or \\p{N} and
     this Java, of an older Unicode, doesn't."""
     import tiktoken
-    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
     bytes_only = {bytes([i]): i for i in range(256)}
+    # rows, not a literal of all code points: the driver would keep it, printed, with the plan
+    points = spark.range(0x110000).filter((F.col("id") < 0xD800) | (F.col("id") >= 0xE000))
+    points = points.withColumn("x", F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32"))
     out = {}
     for kind in ("L", "N"):
         probe = tiktoken.Encoding(f"probe-{kind}", pat_str=rf"\p{{{kind}}}", mergeable_ranks=bytes_only, special_tokens={})
-        theirs = np.frombuffer(bytes(probe.encode_ordinary(every)).decode().encode("utf-32-le"), "<u4")
-        rest = spark.range(1).select(F.regexp_replace(F.lit(every), rf"\p{{{kind}}}+", "").alias("x")).first().x
-        out[kind] = _ranges(np.intersect1d(theirs, np.frombuffer(rest.encode("utf-32-le"), "<u4")).astype(np.int64))
+        theirs = [i for at in range(0, 0x110000, PROBED) for i in _matched(probe, at)]
+        known = points.filter(F.col("x").rlike(rf"\p{{{kind}}}")).select("id").toArrow().column("id").to_numpy()
+        out[kind] = _ranges(np.setdiff1d(np.array(theirs, np.int64), known))
     return out
 
 

@@ -9,7 +9,8 @@ identity terms are swapped for other terms of the same list, and the squared
 change of the logit is added to the loss, so a neutral mention of any one group
 moves no score. Only words in at least ``min_rows`` sampled texts can get a
 weight. The sample's features reach the driver as positions in the list of those words
-(bounded by ``sample_rows``); the weights go to all tasks.
+(bounded by ``sample_rows``), a slice of the sample at a time, so that its JVM never holds
+them all; the weights go to all tasks.
 
 Defined cases: a null or empty text has no words and scores the intercept; a
 null id is never held out and never labelled; of several labels of one id the
@@ -19,6 +20,7 @@ every score is 0; repeated rows are scored alike; extra columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,12 +32,15 @@ from pyspark.sql import types as T
 
 from quantspark.llm.common import byte_windows, fresh, read, scoped, stage, text_buffer, with_fields
 from quantspark.llm.wordhash import separator_table, word_hashes
+from quantspark.session import write_once
 
 FOLDS = 5
 WINDOW_BYTES = 1 << 18  # a window's temporaries take some fifty times as much
 BATCH_BYTES = 8 << 20
 # Batches between the JVM and the fit's tasks, both of which hold one whole.
 SMALL_BATCHES = {"execution__arrow__maxRecordsPerBatch": "1500", "execution__arrow__maxBytesPerBatch": "8m"}
+# Jobs in which the sample's features come to the driver.
+SLICES = 8
 SEPARATORS = separator_table(bytes(c for c in range(128) if not chr(c).isalnum()))
 IDENTITY_TERMS = (
     ("women", "men"), ("woman", "man"), ("girls", "boys"), ("girl", "boy"), ("female", "male"),
@@ -112,7 +117,7 @@ def _features(sample: DataFrame) -> DataFrame:
 
 
 def _coded(features: DataFrame, table: np.ndarray) -> DataFrame:
-    """(toxic, words: int32 positions in ``table`` of those it holds), in the order of ``place``."""
+    """(place, toxic, words: int32 positions in ``table`` of those it holds), in the order of ``place``."""
     def run(batches):
         for batch in batches:
             h = batch.column(2).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
@@ -123,8 +128,33 @@ def _coded(features: DataFrame, table: np.ndarray) -> DataFrame:
             words = pa.array([raw[4 * i:4 * j] for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist())], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], words], names=["place", "toxic", "words"])
 
-    # one fixed order, so that reruns add up the same sums
-    return features.mapInArrow(run, "place long, toxic int, words binary").orderBy("place").select("toxic", "words")
+    return features.mapInArrow(run, "place long, toxic int, words binary").orderBy("place")
+
+
+def _sliced(coded: DataFrame):
+    """Tables of all rows of ``coded``, which is written in the order of ``place``, by ranges of it."""
+    edges = [-(1 << 63) + k * (1 << 64) // SLICES for k in range(1, SLICES)]
+    for low, high in zip([None, *edges], [*edges, None]):
+        part = coded if low is None else coded.filter(F.col("place") >= low)
+        part = part if high is None else part.filter(F.col("place") < high)
+        # one fixed order, so that reruns add up the same sums
+        yield part.toArrow().sort_by("place")
+
+
+def _runs(pieces, limit: int):
+    """(positions, row offsets) of the rows of ``pieces`` in runs of at most ``limit``
+    positions (one row at least), the same however the rows are cut into pieces."""
+    col, sizes = np.zeros(0, np.int32), np.zeros(0, np.int64)
+    for more, cuts in pieces:
+        col, sizes = np.concatenate([col, more]), np.concatenate([sizes, np.diff(cuts)])
+        cuts = np.r_[0, np.cumsum(sizes)]
+        i = 0
+        for i, j in byte_windows(cuts, limit, rows=1 << 30):
+            if j < len(sizes):
+                yield col[cuts[i]:cuts[j]].copy(), cuts[i:j + 1] - cuts[i]
+        col, sizes = col[cuts[i]:].copy(), sizes[i:]  # the last may go on
+    if len(sizes):
+        yield col, np.r_[0, np.cumsum(sizes)]
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
@@ -132,12 +162,12 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 class _Rows:
-    """Word positions of the sampled texts, row after row, as they came from Spark;
+    """Word positions of the sampled texts, row after row;
     sums go through them in runs of rows, so that no second copy is needed."""
 
     RUN = 1 << 18
 
-    def __init__(self, pieces: list[tuple[np.ndarray, np.ndarray]]):
+    def __init__(self, pieces: Iterable[tuple[np.ndarray, np.ndarray]]):
         """(positions, row offsets) per run."""
         self.runs, at = [], 0
         for col, cuts in pieces:
@@ -147,13 +177,20 @@ class _Rows:
         self.n = at
 
     @classmethod
-    def of(cls, table: pa.Table) -> _Rows:
-        pieces = []
-        for column in table.column("words").chunks:
-            offs = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64)
-            data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offs[0]:offs[-1]]
-            pieces.append((data.view(np.int32), (offs - offs[0]) // 4))
-        return cls(pieces)
+    def of(cls, tables) -> tuple[np.ndarray, _Rows]:
+        """Labels and words of all rows; of the tables, one is held at a time."""
+        toxic = [np.zeros(0)]
+
+        def pieces():
+            for table in tables:
+                toxic.append(table.column("toxic").to_numpy().astype(np.float64))
+                for column in table.column("words").chunks:
+                    offs = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64)
+                    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offs[0]:offs[-1]]
+                    yield data.view(np.int32), (offs - offs[0]) // 4
+
+        words = cls(_runs(pieces(), cls.RUN))
+        return np.concatenate(toxic), words
 
     def keep(self, slot: np.ndarray) -> _Rows:
         """The words whose ``slot`` is not negative, under that number."""
@@ -200,11 +237,11 @@ def train(docs: DataFrame, labels: DataFrame, groups=IDENTITY_TERMS, sample_rows
     a, b = _swaps(groups)
     vocab = np.unique(np.concatenate([often, a, b]))
     with scoped(docs.sparkSession, **SMALL_BATCHES):
-        got = _coded(features, vocab).toArrow()
-    y = got.column("toxic").to_numpy().astype(np.float64)
+        y, words = _Rows.of(_sliced(write_once(_coded(features, vocab), "coded")))
     if not len(y):
         return Model(np.zeros(0, np.uint64), np.zeros(0), -np.inf)
-    words, n, m = _Rows.of(got), len(y), len(vocab)
+    pa.default_memory_pool().release_unused()
+    n, m = len(y), len(vocab)
 
     # swapped pairs: for each text with identity terms, the words that go and come.
     # A word that does both (another term of its list is there too) cancels out.
@@ -252,7 +289,6 @@ def train(docs: DataFrame, labels: DataFrame, groups=IDENTITY_TERMS, sample_rows
     keep = fit(words, np.arange(m), np.isin(vocab, often), l1)[0] != 0
     slot = np.where(keep, np.cumsum(keep) - 1, -1)
     words = words.keep(slot)  # few are left
-    del got
     w, bias = fit(words, slot, np.ones(int(keep.sum()), bool), l1 / 50)
     vocab = vocab[keep]
     used = w != 0

@@ -652,3 +652,51 @@ def test_toxicity_fit_runs_in_small_arrow_batches(spark, monkeypatch):
     before = spark.conf.get(key)
     toxicity.train(docs, docs.selectExpr("doc_id", "cast(doc_id % 2 AS int) AS toxic"))
     assert seen == ["1500"] and spark.conf.get(key) == before
+
+
+def test_toxicity_sample_reaches_the_driver_in_slices(spark, monkeypatch):
+    rows = [(i, f"you {'idiot' if i % 3 == 0 else 'friend'} word{i % 17} word{i % 11}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 3 = 0 AS int) AS toxic")
+    seen, to_arrow = [], type(docs).toArrow
+
+    def recorded(df):
+        table = to_arrow(df)
+        if "words" in table.column_names:
+            seen.append(table.num_rows)
+        return table
+
+    monkeypatch.setattr(type(docs), "toArrow", recorded)
+    sliced = toxicity.train(docs, labels)
+    assert sum(seen) == docs.filter(~toxicity.held_out()).count() and max(seen) < sum(seen) / 4
+    monkeypatch.setattr(toxicity, "SLICES", 1)
+    whole = toxicity.train(docs, labels)
+    assert (sliced.hashes == whole.hashes).all() and len(whole.weights) and (sliced.weights == whole.weights).all() and sliced.intercept == whole.intercept
+
+
+def test_toxicity_runs_do_not_depend_on_pieces():
+    rng = np.random.default_rng(3)
+    sizes = rng.integers(0, 9, 200)
+    sizes[[50, 51]] = 40, 0
+    cuts = np.r_[0, np.cumsum(sizes)]
+    col = rng.integers(0, 99, cuts[-1]).astype(np.int32)
+    whole = [(col[cuts[i]:cuts[j]].tolist(), (cuts[i:j + 1] - cuts[i]).tolist()) for i, j in toxicity.byte_windows(cuts, 16, rows=1 << 30)]
+    for ends in ([200], [1, 1, 70, 200], range(1, 201)):
+        pieces = [(col[cuts[a]:cuts[b]], cuts[a:b + 1] - cuts[a]) for a, b in zip([0, *ends], ends)]
+        assert [(c.tolist(), k.tolist()) for c, k in toxicity._runs(pieces, 16)] == whole
+
+
+def test_bpe_code_points_are_not_a_literal_of_a_plan(spark, monkeypatch):
+    literals, lit = [], F.lit
+    monkeypatch.setattr(F, "lit", lambda x: literals.append(x) or lit(x))
+    newer = bpe._newer.__wrapped__(spark)
+    monkeypatch.undo()
+    assert max([len(str(x)) for x in literals], default=0) < 1000
+    # as the whole of Unicode, matched at once by both
+    import tiktoken
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    for kind in "LN":
+        probe = tiktoken.Encoding(f"whole-{kind}", pat_str=rf"\p{{{kind}}}", mergeable_ranks={bytes([i]): i for i in range(256)}, special_tokens={})
+        theirs = set(bytes(probe.encode_ordinary(every)).decode())
+        rest = spark.range(1).select(F.regexp_replace(F.lit(every), rf"\p{{{kind}}}+", "").alias("x")).first().x
+        assert newer[kind] == bpe._ranges(np.array(sorted(map(ord, theirs & set(rest))), np.int64))
