@@ -174,14 +174,22 @@ def classes(fps: DataFrame, group_limit: int = GROUP_LIMIT) -> DataFrame:
 
 def deduplicate(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     """Documents, one of each group: the one with the smallest id (of repeated
-    rows with that id and fingerprint, one)."""
-    fp, cols = fresh(docs, "fp"), docs.columns
-    marked = stage(add_fingerprints(docs, name=fp, words=words), "marked")
-    ids = marked.select("doc_id", F.col(fp).alias("fp"))
+    rows with that id and fingerprint, one). Only ids, fingerprints and digests
+    of the texts are staged, and ``docs`` is read again for the rows they name:
+    it must give the same rows both times, as a table does."""
+    cols, digest = docs.columns, F.sha2(F.coalesce("text", F.lit("")), 256)
+    ids = stage(add_fingerprints(docs.select("doc_id", "text", digest.alias("digest")), words=words)
+                .select("doc_id", "fp", "digest"), "fingerprints")
     keep = (classes(ids).filter(F.col("fp") == F.col("keep_fp"))
             .select(F.col("fp").alias("__fp"), F.col("component_id").alias("__id")))
-    kept = marked.join(keep, (F.col(fp) == F.col("__fp")) & F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    return kept.dropDuplicates(["doc_id", fp]).select(*cols)
+    kept = (ids.join(keep, (F.col("fp") == F.col("__fp")) & F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+            .groupBy("doc_id", "fp").agg(F.min("digest").alias("digest")))
+    # as one struct, ids may be null; rows that stand twice are folded first, and the join needs no other shuffle of the texts
+    row = fresh(docs, "row")
+    single = docs.withColumn(row, F.struct("doc_id", digest.alias("digest"))).dropDuplicates([row])
+    name = fresh(single, "row")
+    wanted = kept.select(F.struct("doc_id", "digest").alias(name))
+    return single.join(wanted, F.col(row) == F.col(name), "left_semi").select(*cols)
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Each operator against a plain Python version, and its defined cases."""
 
 import hashlib
+import os
 import random
 import re
 from collections import Counter
@@ -563,6 +564,29 @@ def test_simhash_cases(odd, empty):
     assert simhash.near_duplicates(empty).count() == 0 and simhash.deduplicate(empty).count() == 0
 
 
+def _folder_bytes(spark):
+    root = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
+    return sum(os.path.getsize(os.path.join(at, f)) for at, _, files in os.walk(root) for f in files)
+
+
+def test_deduplicate_stages_no_texts(spark):
+    rng = random.Random(5)
+
+    def text():
+        return " ".join(f"{rng.getrandbits(40):x}" for _ in range(300))
+
+    own = [(i, text(), "en") for i in range(300)]
+    # an id of two texts, null ids with texts of their own, a row that stands twice
+    own += [(5, text(), "de"), (None, text(), "de"), (None, text(), None)]
+    copies = [(1000 + i, own[i][1], "fr") for i in range(60)]
+    docs = spark.createDataFrame(own + copies + [own[7], own[-1]], "doc_id long, text string, lang string")
+    before = _folder_bytes(spark)
+    kept = simhash.deduplicate(docs)
+    staged = _folder_bytes(spark) - before
+    assert Counter(map(tuple, kept.collect())) == Counter(own)
+    assert staged < sum(len(t) for _, t, _ in own) / 4
+
+
 # 10 secrets
 
 BASE = (("assign", re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), 2, 6),
