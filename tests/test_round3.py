@@ -1,6 +1,7 @@
 """Queries that failed on the larger tables: results and how the work is cut."""
 
 import datetime as dt
+import pathlib
 import random
 
 import duckdb
@@ -137,3 +138,45 @@ def test_medians_meet_only_the_values_of_their_bin(spark, monkeypatch):
     want = {k: v for k, v in f.groupby(["z", "y"]).x.median().items()}
     assert {(x["z"], x["y"]): x["x"] for x in got.collect()} == pytest.approx(want)
     assert seen[-1] < 200
+
+
+def test_long_series_are_cut_and_short_ones_are_not(spark):
+    """Series of many chunks, of one chunk and of null keys, on rows that keep their chunks."""
+    from pyspark.sql import functions as F
+    rows = [(k, i, float((i * 37) % 101) if i % 11 else None) for k, n in (("long", 300), ("short", 9), (None, 120)) for i in range(n)]
+    df = ordered.number_rows(spark.createDataFrame(rows, "k string, i int, v double"), [], ["i", "k"], F.lit(0)).withColumnRenamed(ordered.ROW, "pos")
+    df = ordered.cut_long_series(df, ["k"], "pos", 16)
+    cuts = {r["k"]: (r["n"], r["most"]) for r in df.groupBy("k", ordered.CUT).count().groupBy("k").agg(F.count("*").alias("n"), F.max("count").alias("most")).collect()}
+    assert cuts["short"] == (1, 9) and all(cuts[k][0] > 1 and cuts[k][1] <= 16 for k in ("long", None))
+
+    def level(w):
+        return [F.lag("v", 3).over(w).alias("lag3")]
+
+    specs = [("sum", "v", "s"), ("sum_prior", "v", "sp"), ("count_prior", "v", "cp"), ("ffill", "v", "ff"), ("bfill", "v", "bf")]
+    cut = ordered.number_rows(df, ["k"], ["i"], F.col(ordered.CUT))
+    got = ordered.ordered_select(cut, ["k"], ["i"], [level], back=3, chunk_rows=16, numbered=True, keep=True)
+    shuffles = got._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(k")
+    w = got.select("*", F.sum("v").over(ordered.Window.partitionBy("k", ordered.CHUNK).orderBy(ordered.ROW)))
+    assert w._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(k") == shuffles
+    got = ordered.prefix_select(got, ["k"], ["i"], specs, chunk_rows=16, numbered=True)
+    want = ordered.prefix_select(ordered.ordered_select(df, ["k"], ["i"], [level], back=3), ["k"], ["i"], specs)
+    cols = ["k", "i", "lag3", "s", "sp", "cp", "ff", "bf"]
+    assert sorted(map(tuple, got.select(*cols).collect()), key=str) == sorted(map(tuple, want.select(*cols).collect()), key=str)
+
+
+def test_insider_features_of_long_owners_equal_the_oracle(spark, trades, monkeypatch):
+    orders = pd.read_parquet(f"{trades}/orders.parquet")
+    orders["o_orderpriority"] = orders["o_orderpriority"].fillna("5-LOW")
+    orders.to_parquet(f"{trades}/orders.parquet", index=False, coerce_timestamps="us")
+    monkeypatch.setattr(insider, "CHUNK_ROWS", insider.MOMENTUM_ROWS)
+    _same(insider.q_d8(spark, trades), insider.SQL_D8, trades, ["customer", "orders", "lineitem"], ["trade_id"])
+
+
+def test_insider_features_leave_only_the_tables_still_read(spark, trades):
+    from quantspark.session import ensure_checkpoint_dir
+    folder = pathlib.Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    out = insider.q_d8(spark, trades)
+    written = [p.name for p in set(folder.iterdir()) - before if p.name[-33] == "-"]  # besides Spark's own folders
+    assert {x[:-33] for x in written} == {"by-owner", "ticker-days", "long-series"}
+    assert out.count() == 720
